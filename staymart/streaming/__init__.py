@@ -1,0 +1 @@
+"""No streaming operators: all jobs are scheduled batches over a date window."""

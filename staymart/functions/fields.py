@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from staymart.functions import fixed_values as fixed
-
-AMOUNT = "decimal(18,2)"
+from staymart.schemas import AMOUNT
 
 
 def site_key(label: Column) -> Column:

@@ -2,51 +2,53 @@
 
 from pyspark.sql import types as T
 
+TEXT, DATE, DOUBLE, LONG = T.StringType(), T.DateType(), T.DoubleType(), T.LongType()
+AMOUNT = T.DecimalType(18, 2)
+
+
+def struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
 # Only the leaves that are read. The JSON source cannot prune below the top
 # level, so leaving the other leaves out of the schema is the pruning.
-RAW_RECORD = T.StructType.fromDDL(
-    """
-    updated string,
-    label string,
-    status string,
-    start string,
-    `end` string,
-    accommodations struct<reservation: string>,
-    accommodation_details struct<accommodation: string>,
-    currencies struct<booker: string>,
-    commission struct<estimate_commission_amount: struct<booker_currency: double>>,
-    booker struct<travel_purpose: string, address: struct<country: string>>
-    """
+RAW_RECORD = struct(
+    updated=TEXT,
+    label=TEXT,
+    status=TEXT,
+    start=TEXT,
+    end=TEXT,
+    accommodations=struct(reservation=TEXT),
+    accommodation_details=struct(accommodation=TEXT),
+    currencies=struct(booker=TEXT),
+    commission=struct(estimate_commission_amount=struct(booker_currency=DOUBLE)),
+    booker=struct(travel_purpose=TEXT, address=struct(country=TEXT)),
 )
 
-CANONICAL = T.StructType.fromDDL(
-    """
-    transaction_id string,
-    conversion_key string,
-    property_id string,
-    status string,
-    currency string,
-    check_in_date date,
-    check_out_date date,
-    revenue decimal(18,2),
-    travel_purpose string,
-    country_code string,
-    site_key string,
-    referral_property_id string,
-    device string,
-    region string,
-    revenue_usd decimal(18,2)
-    """
+CANONICAL = struct(
+    transaction_id=TEXT,
+    conversion_key=TEXT,
+    property_id=TEXT,
+    status=TEXT,
+    currency=TEXT,
+    check_in_date=DATE,
+    check_out_date=DATE,
+    revenue=AMOUNT,
+    travel_purpose=TEXT,
+    country_code=TEXT,
+    site_key=TEXT,
+    referral_property_id=TEXT,
+    device=TEXT,
+    region=TEXT,
+    revenue_usd=AMOUNT,
 )
 
 KEY = "transaction_id"
 
-LOOKUP = T.StructType.fromDDL("key string, value string")
-RATES = T.StructType.fromDDL("currency string, rate_to_usd double")
+LOOKUP = struct(key=TEXT, value=TEXT)
+RATES = struct(currency=TEXT, rate_to_usd=DOUBLE)
 
-COMMIT = T.StructType.fromDDL(
-    "snapshot_id bigint, committed_at timestamp, operation string, path string"
-)
-TRACKING = T.StructType.fromDDL("snapshot_id bigint, processed_at timestamp")
-EXPIRED = T.StructType.fromDDL("snapshot_id bigint")
-MANIFEST = T.StructType.fromDDL("file string, bytes bigint")
+COMMIT = struct(snapshot_id=LONG, committed_at=T.TimestampType(), operation=TEXT, path=TEXT)
+TRACKING = struct(snapshot_id=LONG, processed_at=T.TimestampType())
+EXPIRED = struct(snapshot_id=LONG)
+MANIFEST = struct(file=TEXT, bytes=LONG)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from staymart.local import local_frame
 from staymart.operators.canonical import canonical_reservations
 from staymart.schemas import RATES
 
@@ -31,84 +32,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pick(number: Column, choices: dict[int, str | Column]) -> Column:
-    """CASE over small numbers."""
-    expr = None
-    for value, choice in choices.items():
-        choice = choice if isinstance(choice, Column) else F.lit(choice)
-        expr = F.when(number == value, choice) if expr is None else expr.when(number == value, choice)
-    return expr
+# Column of the nested record <- expression over orders and customer. Covers NULL
+# labels, labels without a match, unmapped statuses and devices, an unlisted and a
+# NULL country, an unknown and a NULL currency.
+RAW_COLUMNS = {
+    "updated": "CAST(CAST(o_orderdate AS DATE) AS STRING)",
+    "label": """CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN 'direct'
+        ELSE concat('k-site', CAST(o_orderkey % 5 AS STRING), '_d-',
+          element_at(array('m', 'd', 't', 'x'), CAST(o_orderkey % 4 + 1 AS INT)),
+          '_p-', CAST(o_custkey AS STRING)) END""",
+    "status": """CASE o_orderkey % 7 WHEN 0 THEN 'stayed' WHEN 1 THEN 'booked'
+        WHEN 2 THEN 'cancelled_by_guest' WHEN 3 THEN 'no_show' WHEN 4 THEN NULL
+        ELSE o_orderstatus END""",
+    "start": "CAST(CAST(o_orderdate AS DATE) AS STRING)",
+    "end": "CAST(date_add(CAST(o_orderdate AS DATE), 3) AS STRING)",
+    "accommodations": "named_struct('reservation', CAST(o_orderkey AS STRING))",
+    "accommodation_details": "named_struct('accommodation', CAST(o_custkey AS STRING))",
+    "currencies": """named_struct('booker', CASE c_nationkey % 6 WHEN 0 THEN 'USD'
+        WHEN 1 THEN 'EUR' WHEN 2 THEN 'GBP' WHEN 3 THEN 'JPY' WHEN 4 THEN 'XTS' END)""",
+    "commission": """named_struct('estimate_commission_amount',
+        named_struct('booker_currency', o_totalprice))""",
+    "booker": """named_struct(
+        'travel_purpose', CASE o_orderkey % 3 WHEN 0 THEN 'leisure' WHEN 1 THEN 'business' END,
+        'address', named_struct('country', CASE c_nationkey % 7 WHEN 0 THEN 'us' WHEN 1 THEN 'gb'
+          WHEN 2 THEN 'fr' WHEN 3 THEN 'jp' WHEN 4 THEN 'br' WHEN 5 THEN 'zz' END))""",
+}
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested reservation record per order."""
-    orders = table(spark, sf_dir, "orders")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    key, nation = F.col("o_orderkey"), F.col("c_nationkey")
-    label = (
-        F.when(key % 11 == 0, F.lit(None))
-        .when(key % 13 == 0, "direct")
-        .otherwise(
-            F.concat(
-                F.lit("k-site"),
-                (key % 5).cast("string"),
-                F.lit("_d-"),
-                pick(key % 4, {0: "m", 1: "d", 2: "t", 3: "x"}),
-                F.lit("_p-"),
-                F.col("o_custkey").cast("string"),
-            )
-        )
-    )
-    statuses = {0: "stayed", 1: "booked", 2: "cancelled_by_guest", 3: "no_show"}
-    status = F.when(key % 7 == 4, F.lit(None)).when(
-        key % 7 > 4, F.col("o_orderstatus")
-    ).otherwise(pick(key % 7, statuses))
-    check_in = F.to_date("o_orderdate")
-    purpose = pick(key % 3, {0: "leisure", 1: "business"})
-    country = pick(nation % 7, {0: "us", 1: "gb", 2: "fr", 3: "jp", 4: "br", 5: "zz"})
-    currency = pick(nation % 6, {0: "USD", 1: "EUR", 2: "GBP", 3: "JPY", 4: "XTS"})
-    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
-        check_in.cast("string").alias("updated"),
-        label.alias("label"),
-        status.alias("status"),
-        check_in.cast("string").alias("start"),
-        F.date_add(check_in, 3).cast("string").alias("end"),
-        F.struct(key.cast("string").alias("reservation")).alias("accommodations"),
-        F.struct(F.col("o_custkey").cast("string").alias("accommodation")).alias(
-            "accommodation_details"
-        ),
-        F.struct(currency.alias("booker")).alias("currencies"),
-        F.struct(
-            F.struct(F.col("o_totalprice").alias("booker_currency")).alias(
-                "estimate_commission_amount"
-            )
-        ).alias("commission"),
-        F.struct(
-            purpose.alias("travel_purpose"), F.struct(country.alias("country")).alias("address")
-        ).alias("booker"),
-    )
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    both = orders.join(customer, orders.o_custkey == customer.c_custkey)
+    return both.selectExpr(*(f"{sql} AS `{name}`" for name, sql in RAW_COLUMNS.items()))
 
 
 def usd_rates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(USD_RATES.items()), RATES)
+    return local_frame(spark, USD_RATES.items(), RATES)
 
 
 def canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical_reservations(
-        raw_records(spark, sf_dir), REGIONS, usd_rates(spark), strict_rates=False
+        raw_records(spark, sf_dir), REGIONS, USD_RATES, strict_rates=False
     )
 
 
 def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Few columns of the reservations, for queries about writing."""
-    raw = raw_records(spark, sf_dir)
-    return raw.select(
-        F.col("accommodations.reservation").alias("transaction_id"),
+    return raw_records(spark, sf_dir).selectExpr(
+        "accommodations.reservation AS transaction_id",
         "status",
-        F.to_date("start").alias("check_in_date"),
-        F.col("commission.estimate_commission_amount.booker_currency")
-        .cast("decimal(18,2)")
-        .alias("revenue"),
+        "CAST(start AS DATE) AS check_in_date",
+        "CAST(commission.estimate_commission_amount.booker_currency AS DECIMAL(18,2)) AS revenue",
     )
 
 
@@ -124,17 +98,17 @@ def late(rows: DataFrame) -> DataFrame:
 def commit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A commit log with a commit per month of orders, named by the month's last id."""
     month = F.date_trunc("month", F.col("o_orderdate").cast("timestamp"))
-    kinds = {0: "append", 1: "overwrite", 2: "replace"}
-    return (
+    log = (
         table(spark, sf_dir, "orders")
         .groupBy(month.alias("committed_at"))
         .agg(F.max("o_orderkey").alias("snapshot_id"))
-        .select(
-            "snapshot_id",
-            "committed_at",
-            pick(F.month("committed_at") % 3, kinds).alias("operation"),
-            F.concat(F.lit("manifests/"), F.col("snapshot_id").cast("string")).alias("path"),
-        )
+    )
+    return log.selectExpr(
+        "snapshot_id",
+        "committed_at",
+        """CASE month(committed_at) % 3 WHEN 0 THEN 'append' WHEN 1 THEN 'overwrite'
+           ELSE 'replace' END AS operation""",
+        "concat('manifests/', CAST(snapshot_id AS STRING)) AS path",
     )
 
 

@@ -11,6 +11,7 @@ from staymart.operators.lookup_join import attach
 from staymart.schemas import CANONICAL
 
 Lookup = DataFrame | Mapping[str, str]
+Rates = DataFrame | Mapping[str, float]
 
 # Output name <- path in the raw record, and whether ids are read as text.
 RAW_PATHS = {
@@ -83,7 +84,7 @@ def with_types(flat: DataFrame, lenient_dates: bool = False) -> DataFrame:
     )
 
 
-def with_revenue_usd(typed: DataFrame, rates: DataFrame, strict: bool = True) -> DataFrame:
+def with_revenue_usd(typed: DataFrame, rates: Rates, strict: bool = True) -> DataFrame:
     """Adds revenue_usd; rows without a usable currency get NULL.
 
     A usable currency without a rate fails the query, or gives NULL if not
@@ -103,7 +104,7 @@ def with_revenue_usd(typed: DataFrame, rates: DataFrame, strict: bool = True) ->
 def canonical_reservations(
     records: DataFrame,
     region: Lookup,
-    rates: DataFrame,
+    rates: Rates,
     status: Lookup = fixed_values.STATUS,
     device: Lookup = fixed_values.DEVICE,
     strict_rates: bool = True,

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-LISTING = "ordinal int, column_name string, data_type string"
+from staymart.local import local_frame
+from staymart.schemas import TEXT, struct
+
+LISTING = struct(ordinal=T.IntegerType(), column_name=TEXT, data_type=TEXT)
 
 
 def schema_listing(df: DataFrame) -> DataFrame:
     """(ordinal, column_name, data_type) of a frame, in column order."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema, start=1)]
-    return df.sparkSession.createDataFrame(rows, LISTING)
+    return local_frame(df.sparkSession, rows, LISTING)
 
 
 def row_count(df: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ def checked_size(lookup: DataFrame, key: str) -> int:
 
 def attach(
     df: DataFrame,
-    lookup: DataFrame | Mapping[str, str],
+    lookup: DataFrame | Mapping[str, str | float],
     code: str,
     into: str,
     key: str = "key",
@@ -52,11 +52,11 @@ def attach(
     that most rows share, as the side that is split is the preserved one.
     """
     if isinstance(lookup, Mapping):
-        side, small = lookup_from_dict(df.sparkSession, lookup), True
+        side, small = lookup_from_dict(df.sparkSession, lookup, "__code", into), True
     else:
         side = lookup.select(key, value)
         small = checked_size(side, key) <= broadcast_bytes
-    side = side.select(F.col(key).alias("__code"), F.col(value).alias(into))
+        side = side.toDF("__code", into)
     if small:
         side = F.broadcast(side)
     return df.join(side, F.col(code) == F.col("__code"), "left").drop("__code")

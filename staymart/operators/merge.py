@@ -30,9 +30,8 @@ class AmbiguousMerge(ValueError):
 class Matches:
     """What the source of a merge hits in its target."""
 
-    source: DataFrame  # source rows, written
-    pairs: DataFrame  # (key, extra columns...) per matched target row, written
-    updates: DataFrame  # source rows that match, one per key, written
+    pairs: DataFrame  # (key, columns beside it) per matched target row, written
+    updates: DataFrame  # source rows, written; at most one per key of the target
     inserts: DataFrame  # source rows that match nothing
 
 
@@ -56,31 +55,43 @@ def find_matches(
 
     ``target_keys`` is read for the key and whatever columns it has beside it. It
     is cut to the source's key range first: a filter that Parquet row groups skip by.
+
+    Unique source keys, the usual case, need two written tables. Repeated ones need
+    three more, so that no join has many rows of one key on its unsplit side.
     """
     source = stage(source, folder, "source")
-    copies = stage(key_copies(source, key), folder, "copies")
-    low, high = copies.agg(F.min(key), F.max(key)).first()
+    copies = key_copies(source, key)
+    low, high, most = copies.agg(F.min(key), F.max(key), F.max("copies")).first()
+    repeated = (most or 0) > 1
+    if repeated:
+        copies = stage(copies, folder, "copies")
+        keys = copies.select(key, (F.col("copies") > 1).alias("ambiguous"))
+    else:
+        keys = keyed(source, key).select(key, F.lit(False).alias("ambiguous"))
+
     in_range = target_keys.filter(F.col(key).between(F.lit(low), F.lit(high)))
-    pairs = stage(in_range.join(copies, key), folder, "pairs")
-    ambiguous = pairs.filter("copies > 1").select(key).limit(3).collect()
-    if ambiguous:
-        examples = ", ".join(str(row[key]) for row in ambiguous)
-        raise AmbiguousMerge(f"several source rows match a target row, such as {key} {examples}")
-    matched = stage(pairs.select(key).distinct(), folder, "matched")
-    updates = stage(keyed(source, key).join(matched, key, "left_semi"), folder, "updates")
+    pairs = stage(in_range.join(keys, key), folder, "pairs")
+    matched = pairs.select(key).distinct()
+    updates = source
+    if repeated:
+        examples = [row[key] for row in pairs.filter("ambiguous").select(key).take(3)]
+        if examples:
+            raise AmbiguousMerge(f"several source rows match one target row: {key} {examples}")
+        matched = stage(matched, folder, "matched")
+        updates = stage(keyed(source, key).join(matched, key, "left_semi"), folder, "updates")
     inserts = keyless(source, key).unionByName(
         keyed(source, key).join(matched, key, "left_anti")
     )
-    return Matches(source, pairs.drop("copies"), updates, inserts)
+    return Matches(pairs.drop("ambiguous"), updates, inserts)
 
 
 def updated(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """``target`` with the rows whose key is in ``updates`` replaced from there.
 
-    Rows without a key skip the join. ``updates`` has unique keys, so that every
-    target row comes out once.
+    Rows without a key skip the join. No key of ``target`` is in ``updates`` twice,
+    so every target row comes out once.
     """
-    new = updates.select(
+    new = keyed(updates, key).select(
         F.col(key).alias("__key"), F.struct(*(F.col(c) for c in target.columns)).alias("__new")
     )
     kept_or_new = keyed(target, key).join(new, F.col(key) == F.col("__key"), "left")

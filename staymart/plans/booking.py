@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from staymart.functions import fixed_values
 from staymart.operators.canonical import (
     Lookup,
+    Rates,
     canonical_reservations,
     flatten,
 )
@@ -26,7 +27,7 @@ def run_booking(
     updated_from: str | dt.date,
     updated_to: str | dt.date,
     region: Lookup,
-    rates: DataFrame | Callable[[str], float],
+    rates: Rates | Callable[[str], float],
     status: Lookup = fixed_values.STATUS,
     device: Lookup = fixed_values.DEVICE,
     strict_rates: bool = True,
@@ -34,8 +35,8 @@ def run_booking(
 ) -> int:
     """Read the window, make canonical rows, merge them; returns the snapshot id.
 
-    ``rates`` is a (currency, rate_to_usd) table, or a function that is asked for
-    the rate of each currency in use; the table spares a pass over the input.
+    ``rates`` is a (currency, rate_to_usd) table or dict, or a function that is asked
+    for the rate of each currency in use; the table spares a pass over the input.
     """
     if not updated_from or not updated_to:
         raise ValueError("a booking load needs both dates of its window")

@@ -8,17 +8,20 @@ import math
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from staymart.operators.history import expirable_snapshots
-from staymart.schemas import MANIFEST
+from staymart.local import local_frame
+from staymart.schemas import EXPIRED, MANIFEST
 from staymart.sources.files import list_files, relative_to, remove_files
 from staymart.sources.versions import (
     DATA_FILE,
     Clock,
     commit,
     commits,
+    file_names,
     latest_commit,
     manifest,
     now,
     read_files,
+    staging_folder,
     write_data,
 )
 
@@ -53,17 +56,17 @@ def compact_files(
     outputs = math.ceil((size or 0) / target_bytes)
     if count < min_files or outputs >= count:
         return None
-    compacted = write_data(read_files(spark, root, small).coalesce(outputs), root)
+    compacted = write_data(read_files(spark, root, file_names(small)).coalesce(outputs), root)
     kept = files.join(small.select("file"), "file", "left_anti")
     return commit(spark, root, base, "replace", kept.unionByName(compacted), clock)
 
 
 def manifests_of(spark: SparkSession, root: str, log: DataFrame) -> DataFrame:
-    """(file, bytes) of all snapshots in a commit log; one name per snapshot is
+    """(file, bytes, rows) of all snapshots in a commit log; one name per snapshot is
     collected, a number that expiry keeps small."""
     paths = [f"{root}/{row['path']}" for row in log.select("path").collect()]
     if not paths:
-        return spark.createDataFrame([], MANIFEST)
+        return local_frame(spark, [], MANIFEST)
     return spark.read.schema(MANIFEST).parquet(*paths)
 
 
@@ -85,16 +88,16 @@ def expire_snapshots(
     gone = victims.select("snapshot_id", "path").collect()
     if not gone:
         return 0
-    ids = [row["snapshot_id"] for row in gone]
     unused = manifests_of(spark, root, victims).select("file").distinct()
-    listed = spark.createDataFrame([(i,) for i in ids], "snapshot_id bigint")
-    listed.coalesce(1).write.mode("append").parquet(f"{root}/expired")
+    given_up = local_frame(spark, [(row["snapshot_id"],) for row in gone], EXPIRED)
+    given_up.write.mode("append").parquet(f"{root}/expired")
 
     still_used = manifests_of(spark, root, commits(spark, root)).select("file")
     unused = unused.join(still_used, "file", "left_anti")
-    remove_files(unused.select(F.concat(F.lit(f"{root}/"), "file").alias("path")))
-    remove_files(list_files(spark, *(f"{root}/{row['path']}" for row in gone)))
-    return len(ids)
+    data = unused.select(F.concat(F.lit(f"{root}/"), "file").alias("path"))
+    lists = list_files(spark, *(f"{root}/{row['path']}" for row in gone)).select("path")
+    remove_files(data.unionByName(lists), staging_folder(root))
+    return len(gone)
 
 
 def orphan_files(
@@ -130,7 +133,7 @@ def remove_orphan_files(
     older_than: dt.timedelta = ORPHAN_AGE,
     clock: Clock = now,
 ) -> int:
-    return remove_files(orphan_files(spark, root, older_than, clock))
+    return remove_files(orphan_files(spark, root, older_than, clock), staging_folder(root))
 
 
 def run_maintenance(

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from staymart.operators.history import sync_decision
+from staymart.local import local_frame
 from staymart.schemas import COMMIT
 from staymart.sources.tracking import create_tracking, record_sync, tracking_log, written
 from staymart.sources.versions import Clock, commits, now, read_snapshot
@@ -38,7 +39,7 @@ def run_sync(
     if written(spark, f"{root}/commits"):
         log = commits(spark, root)
     else:
-        log = spark.createDataFrame([], COMMIT)
+        log = local_frame(spark, [], COMMIT)
     heads = sync_decision(log, tracking_log(spark, tracking_path)).first()
     if heads["decision"] != "full":
         return SyncReport(heads["decision"], heads["latest_id"], 0)

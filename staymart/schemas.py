@@ -51,4 +51,4 @@ RATES = struct(currency=TEXT, rate_to_usd=DOUBLE)
 COMMIT = struct(snapshot_id=LONG, committed_at=T.TimestampType(), operation=TEXT, path=TEXT)
 TRACKING = struct(snapshot_id=LONG, processed_at=T.TimestampType())
 EXPIRED = struct(snapshot_id=LONG)
-MANIFEST = struct(file=TEXT, bytes=LONG)
+MANIFEST = struct(file=TEXT, bytes=LONG, rows=LONG)

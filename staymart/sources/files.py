@@ -8,6 +8,8 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from staymart.scratch import stage
+
 
 def list_files(spark: SparkSession, *folders: str) -> DataFrame:
     """(path, length, modificationTime) of the files below folders. No content is read."""
@@ -33,11 +35,13 @@ def _file_system(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(uri)
 
 
-def remove_files(paths: DataFrame) -> int:
+def remove_files(paths: DataFrame, folder: str) -> int:
     """Removes the files in column ``path``, in tasks; returns how many were there.
 
-    A file that is gone already is passed over, so a repeated task does no harm.
+    The list is written below ``folder`` first: a listing looks at its files again
+    when a task repeats it. A file that is gone already is passed over.
     """
+    paths = stage(paths.select("path"), folder, "remove")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -51,4 +55,15 @@ def remove_files(paths: DataFrame) -> int:
                     pass
             yield pa.RecordBatch.from_arrays([pa.array(gone, pa.string())], names=["path"])
 
-    return paths.select("path").mapInArrow(remove, "path string").count()
+    gone = paths.mapInArrow(remove, "path string").count()
+    remove_folder(folder)
+    return gone
+
+
+def remove_folder(uri: str) -> None:
+    """Removes a folder of intermediate tables; it need not be there any more."""
+    system, path = _file_system(uri)
+    try:
+        system.delete_dir(path)
+    except FileNotFoundError:
+        pass

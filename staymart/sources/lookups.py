@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from staymart.schemas import LOOKUP
+from staymart.local import local_frame
+from staymart.schemas import DOUBLE, TEXT, struct
 
 
 def read_lookup(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
@@ -28,11 +28,10 @@ def read_lookup(spark: SparkSession, path: str, per_line: bool = False) -> DataF
     )
 
 
-def lookup_from_dict(spark: SparkSession, entries: Mapping[str, str]) -> DataFrame:
-    """A lookup small enough to be written down in a program."""
-    arrow_schema = pa.schema([(f.name, pa.string()) for f in LOOKUP])
-    rows = pa.Table.from_arrays(
-        [pa.array(list(entries.keys()), pa.string()), pa.array(list(entries.values()), pa.string())],
-        schema=arrow_schema,
-    )
-    return spark.createDataFrame(rows)
+def lookup_from_dict(
+    spark: SparkSession, entries: Mapping[str, str | float], key: str = "key", value: str = "value"
+) -> DataFrame:
+    """A lookup small enough to be written down in a program, of texts or numbers."""
+    numbers = any(isinstance(v, (int, float)) for v in entries.values())
+    schema = struct(**{key: TEXT, value: DOUBLE if numbers else TEXT})
+    return local_frame(spark, entries.items(), schema)

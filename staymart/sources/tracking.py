@@ -7,13 +7,14 @@ import datetime as dt
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from staymart.local import local_frame
 from staymart.schemas import TRACKING
 
 
 def create_tracking(spark: SparkSession, path: str) -> None:
     """An empty typed log, unless there is one."""
     if not written(spark, path):
-        spark.createDataFrame([], TRACKING).coalesce(1).write.parquet(path)
+        local_frame(spark, [], TRACKING).write.parquet(path)
 
 
 def written(spark: SparkSession, path: str) -> bool:
@@ -35,5 +36,5 @@ def record_sync(
     spark: SparkSession, path: str, snapshot_id: int, processed_at: dt.datetime
 ) -> None:
     """Appends one record."""
-    record = spark.createDataFrame([(snapshot_id, processed_at)], TRACKING)
-    record.coalesce(1).write.mode("append").parquet(path)
+    record = local_frame(spark, [(snapshot_id, processed_at)], TRACKING)
+    record.write.mode("append").parquet(path)

@@ -21,13 +21,14 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from staymart.operators.history import latest_snapshot
 from staymart.operators.inspection import empty_like
 from staymart.operators.merge import conform, find_matches, updated
-from staymart.schemas import COMMIT, EXPIRED, KEY, MANIFEST
-from staymart.sources.files import list_files, relative_to, remove_files
+from staymart.local import local_frame
+from staymart.schemas import COMMIT, EXPIRED, KEY, MANIFEST, TEXT, struct
+from staymart.sources.files import remove_folder
 from staymart.sources.tracking import written
 
 Clock = Callable[[], dt.datetime]
@@ -64,17 +65,21 @@ def latest_commit(spark: SparkSession, root: str) -> Row | None:
 
 
 def manifest(spark: SparkSession, root: str, commit: Row) -> DataFrame:
-    """(file, bytes) of a snapshot, file relative to the root."""
+    """(file, bytes, rows) of a snapshot, file relative to the root."""
     return spark.read.schema(MANIFEST).parquet(f"{root}/{commit['path']}")
 
 
-def read_files(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
-    """Rows of the named files. Only names come to the driver, as in any listing."""
-    paths = [f"{root}/{row['file']}" for row in files.select("file").collect()]
+def file_names(files: DataFrame) -> list[str]:
+    """Names of data files, which the driver needs as for any listing; no rows."""
+    return [row["file"] for row in files.select("file").collect()]
+
+
+def read_files(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
+    """Rows of the named data files."""
     schema = dataset_schema(spark, root)
-    if not paths:
+    if not names:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*paths)
+    return spark.read.schema(schema).parquet(*(f"{root}/{name}" for name in names))
 
 
 def read_snapshot(spark: SparkSession, root: str, snapshot_id: int | None = None) -> DataFrame:
@@ -85,7 +90,7 @@ def read_snapshot(spark: SparkSession, root: str, snapshot_id: int | None = None
         commit = commits(spark, root).filter(F.col("snapshot_id") == snapshot_id).first()
     if commit is None:
         raise ValueError(f"no snapshot {'' if snapshot_id is None else snapshot_id} in {root}")
-    return read_files(spark, root, manifest(spark, root, commit))
+    return read_files(spark, root, file_names(manifest(spark, root, commit)))
 
 
 # --- writing -----------------------------------------------------------------
@@ -98,17 +103,26 @@ def create_dataset(df: DataFrame, root: str, clock: Clock = now) -> None:
     if dataset_exists(spark, root):
         return
     empty_like(df).coalesce(1).write.mode("overwrite").parquet(f"{root}/schema")
-    spark.createDataFrame([], EXPIRED).coalesce(1).write.mode("overwrite").parquet(f"{root}/expired")
-    commit(spark, root, None, "append", spark.createDataFrame([], MANIFEST), clock)
+    local_frame(spark, [], EXPIRED).write.mode("overwrite").parquet(f"{root}/expired")
+    commit(spark, root, None, "append", local_frame(spark, [], MANIFEST), clock)
+
+
+def file_name() -> Column:
+    """Name of the data file a row is in, relative to the root."""
+    return F.regexp_extract(F.col("_metadata.file_path"), f"({DATA_FILE})$", 1).alias("file")
 
 
 def write_data(rows: DataFrame, root: str) -> DataFrame:
-    """Writes rows as new data files; returns their (file, bytes)."""
+    """Writes rows as new data files; returns their (file, bytes, rows).
+
+    The counts come from the footers of the new files. Files without rows are left
+    out; they go as orphans.
+    """
     folder = f"{root}/data/{uuid.uuid4().hex}"
     rows.write.parquet(folder)
-    return list_files(rows.sparkSession, folder).select(
-        relative_to("path", DATA_FILE).alias("file"), F.col("length").alias("bytes")
-    )
+    back = rows.sparkSession.read.schema(rows.schema).parquet(folder)
+    size = F.col("_metadata.file_size").alias("bytes")
+    return back.groupBy(file_name(), size).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def commit(
@@ -126,18 +140,22 @@ def commit(
     """
     snapshot_id = 0 if base is None else base["snapshot_id"] + 1
     path = f"manifests/{snapshot_id}-{uuid.uuid4().hex}"
-    files.select("file", "bytes").write.parquet(f"{root}/{path}")
+    files.select(*MANIFEST.fieldNames()).write.parquet(f"{root}/{path}")
     newest = latest_commit(spark, root)
     if (newest and newest["snapshot_id"]) != (base and base["snapshot_id"]):
         raise RuntimeError(f"{root} has got another commit meanwhile: only one writer at a time")
     at = clock().astimezone(dt.timezone.utc)
     if base is not None:
         at = max(at, base["committed_at"].astimezone(dt.timezone.utc))
-    row = spark.createDataFrame([(snapshot_id, at, operation, path)], COMMIT)
-    row.coalesce(1).write.mode("append").parquet(f"{root}/commits")
+    row = local_frame(spark, [(snapshot_id, at, operation, path)], COMMIT)
+    row.write.mode("append").parquet(f"{root}/commits")
     return snapshot_id
 
 
+def staging_folder(root: str) -> str:
+    return f"{root}/staging/{uuid.uuid4().hex}"
+
+
 def publish_merge(source: DataFrame, root: str, key: str = KEY, clock: Clock = now) -> int:
     """Merges ``source`` into the dataset, creating it if needed; returns the
     snapshot id. ``source`` is evaluated once."""
@@ -145,20 +163,21 @@ def publish_merge(source: DataFrame, root: str, key: str = KEY, clock: Clock = n
     create_dataset(source, root, clock)
     base = latest_commit(spark, root)
     old_files = manifest(spark, root, base)
-    target = read_files(spark, root, old_files)
+    names = file_names(old_files)
+    target = read_files(spark, root, names)
     rows = conform(source, target)
-    if old_files.isEmpty():
+    if not names:
         return commit(spark, root, base, "append", write_data(rows, root), clock)
 
-    staging = f"{root}/staging/{uuid.uuid4().hex}"
-    file = F.regexp_extract(F.col("_metadata.file_path"), f"({DATA_FILE})$", 1).alias("file")
-    target_keys = target.select(key, file).filter(F.col(key).isNotNull())
+    staging = staging_folder(root)
+    target_keys = target.select(key, file_name()).filter(F.col(key).isNotNull())
     found = find_matches(target_keys, rows, key, staging)
-    touched = found.pairs.select("file").distinct()
+    touched = file_names(found.pairs.select("file").distinct())
     rewritten = updated(read_files(spark, root, touched), found.updates, key)
     new_files = write_data(rewritten.unionByName(found.inserts), root)
-    files = old_files.join(touched, "file", "left_anti").unionByName(new_files)
-    operation = "append" if touched.isEmpty() else "overwrite"
+    replaced = local_frame(spark, [(name,) for name in touched], struct(file=TEXT))
+    files = old_files.join(replaced, "file", "left_anti").unionByName(new_files)
+    operation = "overwrite" if touched else "append"
     snapshot_id = commit(spark, root, base, operation, files, clock)
-    remove_files(list_files(spark, staging))
+    remove_folder(staging)
     return snapshot_id

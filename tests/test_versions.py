@@ -1,0 +1,264 @@
+import datetime as dt
+import json
+import os
+from collections import Counter
+
+import pytest
+
+from staymart.operators.merge import AmbiguousMerge
+from staymart.operators.history import snapshot_history
+from staymart.plans import maintenance as keep
+from staymart.sources import versions as vs
+
+DDL = "transaction_id string, v int"
+T0 = dt.datetime(2026, 5, 1, tzinfo=dt.timezone.utc)
+
+
+class Days:
+    """A clock that is set by hand."""
+
+    def __init__(self):
+        self.now = T0
+
+    def __call__(self):
+        return self.now
+
+    def pass_days(self, days):
+        self.now += dt.timedelta(days=days)
+
+
+def frame(spark, *rows):
+    return spark.createDataFrame(list(rows), DDL)
+
+
+def bag(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def files(spark, root):
+    return set(vs.file_names(vs.manifest(spark, root, vs.latest_commit(spark, root))))
+
+
+def on_disk(root, *parts):
+    return {
+        os.path.relpath(os.path.join(folder, name), root)
+        for folder, _, names in os.walk(os.path.join(root, *parts))
+        for name in names
+        if name[0] not in "._"
+    }
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path / "bookings data")  # a path with a blank
+
+
+def test_create_then_merge(spark, root):
+    assert not vs.dataset_exists(spark, root)
+    assert vs.latest_commit(spark, root) is None
+    vs.create_dataset(frame(spark, ("a", 1)), root)
+    assert vs.dataset_exists(spark, root)
+    assert vs.read_snapshot(spark, root).count() == 0
+    assert vs.read_snapshot(spark, root).schema.simpleString() == f"struct<{DDL.replace(' ', ':').replace(',:', ',')}>"
+    vs.create_dataset(frame(spark), root)  # nothing changes
+    assert vs.publish_merge(frame(spark, ("a", 1), ("b", 2)), root) == 1
+    assert vs.publish_merge(frame(spark, ("b", 3), ("c", 4)), root) == 2
+    assert bag(vs.read_snapshot(spark, root)) == Counter([("a", 1), ("b", 3), ("c", 4)])
+    assert bag(vs.read_snapshot(spark, root, 1)) == Counter([("a", 1), ("b", 2)])
+    log = [tuple(r) for r in snapshot_history(vs.commits(spark, root)).collect()]
+    assert [(r[0], r[2]) for r in log] == [(2, "overwrite"), (1, "append"), (0, "append")]
+    assert on_disk(root, "staging") == set()
+
+
+def test_merge_rewrites_only_files_with_a_match(spark, root):
+    vs.publish_merge(frame(spark, ("a", 1), ("b", 2)).coalesce(1), root)
+    first = files(spark, root)
+    vs.publish_merge(frame(spark, ("c", 3), ("d", 4)).coalesce(1), root)
+    second = files(spark, root) - first
+    assert first < files(spark, root)
+    vs.publish_merge(frame(spark, ("d", 5), (None, 6)), root)
+    now = files(spark, root)
+    assert first < now and not second & now
+    assert bag(vs.read_snapshot(spark, root)) == Counter([("a", 1), ("b", 2), ("c", 3), ("d", 5), (None, 6)])
+
+
+def test_insert_only_merge_appends(spark, root):
+    vs.publish_merge(frame(spark, ("a", 1), ("z", 1)), root)
+    vs.publish_merge(frame(spark, ("m", 2), ("m", 2)), root)
+    assert vs.latest_commit(spark, root)["operation"] == "append"
+    assert bag(vs.read_snapshot(spark, root)) == Counter([("a", 1), ("z", 1), ("m", 2), ("m", 2)])
+
+
+def test_repeated_keys_first_load_and_update(spark, root):
+    vs.publish_merge(frame(spark, ("a", 1), ("a", 2), (None, 3)), root)
+    vs.publish_merge(frame(spark, ("a", 9), (None, 4)), root)
+    assert bag(vs.read_snapshot(spark, root)) == Counter([("a", 9), ("a", 9), (None, 3), (None, 4)])
+
+
+def test_refused_merge_leaves_the_snapshot(spark, root):
+    vs.publish_merge(frame(spark, ("a", 1)), root)
+    with pytest.raises(AmbiguousMerge):
+        vs.publish_merge(frame(spark, ("a", 2), ("a", 3)), root)
+    assert vs.latest_commit(spark, root)["snapshot_id"] == 1
+    assert bag(vs.read_snapshot(spark, root)) == Counter([("a", 1)])
+
+
+def test_empty_source_and_idempotence(spark, root):
+    rows = frame(spark, ("a", 1), ("b", 2))
+    vs.publish_merge(rows, root)
+    vs.publish_merge(rows, root)
+    assert vs.publish_merge(frame(spark), root) == 3
+    assert bag(vs.read_snapshot(spark, root)) == bag(rows)
+
+
+def test_broken_off_write_is_not_seen(spark, root):
+    vs.publish_merge(frame(spark, ("a", 1)), root)
+    vs.write_data(frame(spark, ("a", 2), ("b", 2)), root)
+    assert bag(vs.read_snapshot(spark, root)) == Counter([("a", 1)])
+
+
+def test_second_writer_is_refused(spark, root):
+    vs.publish_merge(frame(spark, ("a", 1)), root)
+    base = vs.latest_commit(spark, root)
+    theirs = vs.write_data(frame(spark, ("x", 1)), root)
+    vs.publish_merge(frame(spark, ("b", 1)), root)
+    with pytest.raises(RuntimeError, match="one writer"):
+        vs.commit(spark, root, base, "append", theirs)
+
+
+def test_later_frames_do_not_change_the_columns(spark, root):
+    vs.publish_merge(frame(spark, ("a", 1)), root)
+    vs.publish_merge(
+        spark.createDataFrame([(2, "b", True)], "v bigint, transaction_id string, new boolean"), root
+    )
+    out = vs.read_snapshot(spark, root)
+    assert out.columns == ["transaction_id", "v"] and bag(out) == Counter([("a", 1), ("b", 2)])
+    with pytest.raises(ValueError, match="lacks v"):
+        vs.publish_merge(frame(spark, ("a", 1)).drop("v"), root)
+
+
+def test_clock_that_goes_back(spark, root):
+    clock = Days()
+    vs.publish_merge(frame(spark, ("a", 1)), root, clock=clock)
+    clock.pass_days(-30)
+    vs.publish_merge(frame(spark, ("a", 2)), root, clock=clock)
+    assert vs.latest_commit(spark, root)["snapshot_id"] == 2
+
+
+def test_missing_snapshot(spark, root):
+    with pytest.raises(ValueError, match="no snapshot"):
+        vs.read_snapshot(spark, root)
+    vs.publish_merge(frame(spark, ("a", 1)), root)
+    with pytest.raises(ValueError, match="no snapshot 7"):
+        vs.read_snapshot(spark, root, 7)
+
+
+# --- maintenance -------------------------------------------------------------
+
+
+def test_compaction_keeps_rows_and_large_files(spark, root):
+    vs.publish_merge(spark.range(100_000).selectExpr("uuid() AS transaction_id", "CAST(id AS INT) AS v").coalesce(1), root)
+    (large,) = files(spark, root)
+    for i in range(4):
+        vs.publish_merge(frame(spark, (f"k{i}", i)).coalesce(1), root)
+    before = bag(vs.read_snapshot(spark, root))
+    assert len(files(spark, root)) == 5
+    assert keep.compact_files(spark, root, target_bytes=1_000_000, min_files=5) is None
+    assert keep.compact_files(spark, root, target_bytes=1_000_000, min_files=4) == 6
+    assert vs.latest_commit(spark, root)["operation"] == "replace"
+    assert large in files(spark, root) and len(files(spark, root)) == 2
+    assert bag(vs.read_snapshot(spark, root)) == before
+    assert keep.compact_files(spark, root, target_bytes=1_000_000, min_files=1) is None
+
+
+def test_compaction_of_nothing(spark, root):
+    assert keep.compact_files(spark, root) is None
+    vs.create_dataset(frame(spark), root)
+    assert keep.compact_files(spark, root, min_files=0) is None
+
+
+def test_expiry_keeps_the_newest_and_the_young(spark, root):
+    clock = Days()
+    for i in range(4):
+        vs.publish_merge(frame(spark, ("a", i), (f"k{i}", i)), root, clock=clock)
+        clock.pass_days(1)
+    # Snapshots 0 and 1 are of day 0, 2 of day 1, 3 of day 2, 4 of day 3.
+    assert keep.expire_snapshots(spark, root, retain_last=5, older_than=dt.timedelta(0), clock=clock) == 0
+    assert keep.expire_snapshots(spark, root, retain_last=1, older_than=dt.timedelta(days=5), clock=clock) == 0
+    old = vs.read_snapshot(spark, root, 1)
+    now = bag(vs.read_snapshot(spark, root))
+    assert keep.expire_snapshots(spark, root, retain_last=2, older_than=dt.timedelta(0), clock=clock) == 3
+    assert {r["snapshot_id"] for r in vs.commits(spark, root).collect()} == {3, 4}
+    assert bag(vs.read_snapshot(spark, root)) == now
+    assert vs.read_snapshot(spark, root, 3).count() == 4
+    with pytest.raises(Exception, match="NOT_EXIST|FileNotFound"):
+        old.collect()
+    named = set(vs.file_names(keep.manifests_of(spark, root, vs.commits(spark, root))))
+    assert on_disk(root, "data") == named
+    assert len({f.split("/")[1] for f in on_disk(root, "manifests")}) == 2
+    assert keep.expire_snapshots(spark, root, retain_last=1, older_than=dt.timedelta(0), clock=clock) == 1
+    assert bag(vs.read_snapshot(spark, root)) == now
+    with pytest.raises(ValueError):
+        keep.expire_snapshots(spark, root, retain_last=0)
+
+
+def later(days):
+    at = dt.datetime.now(dt.timezone.utc) + dt.timedelta(days=days)
+    return lambda: at
+
+
+def test_orphans_are_removed_when_old_enough(spark, root):
+    vs.publish_merge(frame(spark, ("a", 1)), root)
+    vs.publish_merge(frame(spark, ("b", 1)), root)
+    live = on_disk(root)
+    vs.write_data(frame(spark, ("x", 2)), root)
+    frame(spark, ("x", 2)).write.parquet(f"{root}/staging/{'0' * 32}/source-1")
+    frame(spark, ("x", 2)).write.parquet(f"{root}/manifests/9-{'0' * 32}")
+    stray = on_disk(root) - live
+    assert stray
+    assert keep.remove_orphan_files(spark, root) == 0
+    found = keep.orphan_files(spark, root, clock=later(4))
+    assert {os.path.relpath(r["path"].removeprefix("file:"), root) for r in found.collect()} == stray
+    assert keep.remove_orphan_files(spark, root, clock=later(4)) == len(stray)
+    assert on_disk(root) == live
+    assert keep.remove_orphan_files(spark, root, clock=later(4)) == 0
+    assert bag(vs.read_snapshot(spark, root)) == Counter([("a", 1), ("b", 1)])
+
+
+@pytest.mark.parametrize("name", ["data", "staging", "manifests"])
+def test_folder_names_of_a_root_do_not_confuse_orphan_removal(spark, tmp_path, name):
+    root = str(tmp_path / name)
+    vs.publish_merge(frame(spark, ("a", 1)), root)
+    vs.publish_merge(frame(spark, ("a", 2)), root)
+    live = on_disk(root)
+    assert keep.remove_orphan_files(spark, root, clock=later(4)) == 0
+    assert on_disk(root) == live
+
+
+def test_expiry_that_stopped_half_way_is_finished_by_orphan_removal(spark, root):
+    clock = Days()
+    vs.publish_merge(frame(spark, ("a", 1)), root, clock=clock)
+    vs.publish_merge(frame(spark, ("a", 2)), root, clock=clock)
+    clock.pass_days(30)
+    remove, keep.remove_files = keep.remove_files, lambda paths, folder: 0
+    try:
+        assert keep.expire_snapshots(spark, root, retain_last=1, clock=clock) == 2
+    finally:
+        keep.remove_files = remove
+    assert keep.remove_orphan_files(spark, root, clock=later(4)) > 0
+    assert on_disk(root, "data") == files(spark, root)
+    assert bag(vs.read_snapshot(spark, root)) == Counter([("a", 2)])
+
+
+def test_all_maintenance(spark, root):
+    clock = Days()
+    for i in range(6):
+        vs.publish_merge(frame(spark, (f"k{i}", i)).coalesce(1), root, clock=clock)
+    vs.write_data(frame(spark, ("x", 2)), root)
+    rows = bag(vs.read_snapshot(spark, root))
+    clock.pass_days(365 * 50)
+    report = keep.run_maintenance(spark, root, clock=clock)
+    assert report["compacted_into"] == 7 and report["expired"] == 3 and report["orphans"] > 0
+    assert bag(vs.read_snapshot(spark, root)) == rows
+    assert len(files(spark, root)) == 1
+    json.dumps(report)

@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import os
 import statistics
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -50,7 +49,7 @@ def main() -> None:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="staymart-bench-"))
+        .config("spark.ui.showConsoleProgress", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("OFF")
@@ -71,7 +70,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+                "sf": float(os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")),
                 "runs": runs,
                 "cpus": int(cpus),
             }

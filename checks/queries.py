@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -207,15 +208,18 @@ def published(spark: SparkSession, sf_dir: str) -> str:
 
 @query
 def booking_job(spark, sf_dir):
+    """Two overlapping date windows of JSON lines, loaded one after the other."""
     folder = scratch_folder(spark)
     fx.raw_records(spark, sf_dir).write.json(f"{folder}/raw")
+    regions = [(json.dumps(fx.REGIONS, indent=2),)]
+    spark.createDataFrame(regions, "value string").coalesce(1).write.text(f"{folder}/regions")
     for window in (("1995-01-01", "1998-12-31"), ("1998-01-01", "2001-12-31")):
         run_booking(
             spark,
             f"{folder}/raw",
             f"{folder}/bookings",
             *window,
-            region=fx.REGIONS,
+            region=read_lookup(spark, f"{folder}/regions"),
             rates=fx.usd_rates(spark),
             strict_rates=False,
         )

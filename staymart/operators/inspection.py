@@ -44,6 +44,6 @@ def compare_datasets(left: DataFrame, right: DataFrame) -> DataFrame:
         "left_type",
         "right_type",
         F.col("left_type").eqNullSafe(F.col("right_type")).alias("same_type"),
-        F.lit(left_rows).alias("left_rows"),
-        F.lit(right_rows).alias("right_rows"),
+        F.lit(left_rows).cast("bigint").alias("left_rows"),
+        F.lit(right_rows).cast("bigint").alias("right_rows"),
     )

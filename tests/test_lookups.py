@@ -54,6 +54,7 @@ def test_size_counts_bytes(spark):
 
 def test_large_lookup_is_not_broadcast_and_a_hot_code_is_split(spark, tmp_path):
     settings = {
+        "spark.sql.shuffle.partitions": "16",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",

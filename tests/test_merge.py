@@ -115,6 +115,7 @@ def test_source_is_evaluated_once(spark, tmp_path):
 @pytest.fixture
 def small_partitions(spark):
     settings = {
+        "spark.sql.shuffle.partitions": "16",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",

@@ -1,0 +1,168 @@
+import datetime as dt
+
+import pytest
+
+from staymart.operators import history
+from staymart.operators.merge import require_key
+from staymart.plans.booking import run_booking
+from staymart.plans.sync import SyncReport, run_sync
+from staymart.schemas import COMMIT, RAW_RECORD, TRACKING
+from staymart.sources import tracking
+from staymart.sources.versions import commits, publish_merge, read_snapshot
+
+DDL = "transaction_id string, v int"
+
+
+def at(hour):
+    return dt.datetime(2026, 5, 1, hour, tzinfo=dt.timezone.utc)
+
+
+def log(spark, *rows):
+    return spark.createDataFrame([(i, when, "append", f"m{i}") for i, when in rows], COMMIT)
+
+
+def synced(spark, *rows):
+    return spark.createDataFrame(list(rows), TRACKING)
+
+
+@pytest.mark.parametrize(
+    "have, done, expected",
+    [
+        ([], [], (None, None, "none")),
+        ([], [(4, 1)], (None, 4, "none")),
+        ([(7, 1)], [], (7, None, "full")),
+        ([(7, 1)], [(7, 2)], (7, 7, "skip")),
+        ([(7, 1), (3, 2)], [(7, 2)], (3, 7, "full")),  # newest by time, not by id
+        ([(7, 1), (3, 2)], [(7, 2), (3, 1)], (3, 7, "full")),
+        ([(7, 2), (8, 2)], [(7, 2), (8, 2)], (8, 8, "skip")),  # ties go to the higher id
+    ],
+)
+def test_decision(spark, have, done, expected):
+    out = history.sync_decision(
+        log(spark, *((i, at(h)) for i, h in have)), synced(spark, *((i, at(h)) for i, h in done))
+    )
+    assert [tuple(r) for r in out.collect()] == [expected]
+
+
+def test_newest_of_empty_logs(spark):
+    assert history.latest_snapshot(log(spark)).first() is None
+    assert history.last_tracked(synced(spark)).first() is None
+
+
+def test_history_order_and_columns(spark):
+    out = history.snapshot_history(log(spark, (1, at(1)), (2, at(3)), (3, at(3))))
+    assert out.columns == ["snapshot_id", "committed_at", "operation"]
+    assert [r[0] for r in out.collect()] == [3, 2, 1]
+
+
+def test_expirable(spark):
+    five = log(spark, *((i, at(i)) for i in range(5)))
+    ids = lambda df: sorted(r["snapshot_id"] for r in df.collect())
+    assert ids(history.expirable_snapshots(five, 2)) == [0, 1, 2]
+    assert ids(history.expirable_snapshots(five, 2, at(1))) == [0]
+    assert ids(history.expirable_snapshots(five, 9)) == []
+    with pytest.raises(ValueError):
+        history.expirable_snapshots(five, 0)
+
+
+def test_tracking_log(spark, tmp_path):
+    path = str(tmp_path / "tracking")
+    tracking.create_tracking(spark, path)
+    assert tracking.tracking_log(spark, path).count() == 0
+    tracking.record_sync(spark, path, 5, at(1))
+    tracking.create_tracking(spark, path)
+    tracking.record_sync(spark, path, 6, at(2))
+    assert [r[0] for r in history.last_tracked(tracking.tracking_log(spark, path)).collect()] == [6]
+    assert tracking.tracking_log(spark, path).schema == TRACKING
+
+
+class Store:
+    """Stands in for the relational store."""
+
+    def __init__(self):
+        self.rows, self.calls, self.broken = {}, 0, False
+
+    def upsert(self, df):
+        require_key(df, "transaction_id")
+        self.calls += 1
+        rows = {r["transaction_id"]: r["v"] for r in df.collect()}
+        if self.broken:
+            raise ConnectionError
+        self.rows.update(rows)
+        return len(rows)
+
+
+def test_sync_runs(spark, tmp_path):
+    root, path, store = str(tmp_path / "b"), str(tmp_path / "t"), Store()
+
+    def sync():
+        return run_sync(spark, root, path, store.upsert)
+
+    def load(*rows):
+        publish_merge(spark.createDataFrame(list(rows), DDL), root)
+
+    assert sync() == SyncReport("none", None, 0) and store.calls == 0
+    load(("a", 1), ("b", 2))
+    assert sync() == SyncReport("full", 1, 2)
+    assert sync() == SyncReport("skip", 1, 0) and store.calls == 1
+    load(("b", 3))
+    store.broken = True
+    with pytest.raises(ConnectionError):
+        sync()
+    store.broken = False
+    assert sync() == SyncReport("full", 2, 2)  # not recorded before, so done in full
+    assert store.rows == {"a": 1, "b": 3}
+    assert sync().decision == "skip"
+    assert [r[0] for r in tracking.tracking_log(spark, path).orderBy("processed_at").collect()] == [1, 2]
+
+
+def test_sync_reads_the_snapshot_it_decided_on(spark, tmp_path):
+    root, path, store = str(tmp_path / "b"), str(tmp_path / "t"), Store()
+    publish_merge(spark.createDataFrame([("a", 1)], DDL), root)
+
+    def upsert(df):
+        publish_merge(spark.createDataFrame([("a", 2)], DDL), root)  # meanwhile
+        return store.upsert(df)
+
+    assert run_sync(spark, root, path, upsert).snapshot_id == 1
+    assert store.rows == {"a": 1}
+    assert run_sync(spark, root, path, store.upsert).snapshot_id == 2
+    assert store.rows == {"a": 2}
+
+
+def test_booking_load(spark, tmp_path):
+    def record(key, day, status, currency="EUR"):
+        return {
+            "updated": day, "status": status, "start": day, "end": day,
+            "accommodations": {"reservation": key}, "currencies": {"booker": currency},
+            "commission": {"estimate_commission_amount": {"booker_currency": 10.0}},
+        }
+
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "b")
+    spark.createDataFrame(
+        [
+            record("1", "2026-05-07", "F"), record("2", "2026-05-07", "S", None),
+            record("1", "2026-05-08", "no_show"), record("3", "2026-05-08", "S"),
+            record("4", "2026-05-09", "S", "XTS"),
+        ],
+        RAW_RECORD,
+    ).write.json(raw)
+
+    def load(first, last, rates):
+        return run_booking(spark, raw, root, first, last, region={}, rates=rates)
+
+    def stored():
+        return {r["transaction_id"]: (r["status"], r["revenue_usd"]) for r in read_snapshot(spark, root).collect()}
+
+    for window in ((None, "2026-05-07"), ("2026-05-07", "")):
+        with pytest.raises(ValueError, match="both dates"):
+            load(*window, {"EUR": 1.5})
+    load("2026-05-07", "2026-05-07", {"EUR": 1.5})
+    assert {k: v[0] for k, v in stored().items()} == {"1": "pending", "2": "approved"}
+    load("2026-05-08", "2026-05-08", lambda currency: 2.0)
+    assert {k: (s, v and float(v)) for k, (s, v) in stored().items()} == {
+        "1": ("cancelled", 20.0), "2": ("approved", None), "3": ("approved", 20.0),
+    }
+    with pytest.raises(Exception, match="no rate to USD for currency XTS"):
+        load("2026-05-09", "2026-05-09", {"EUR": 1.5})
+    assert len(stored()) == 3 and commits(spark, root).count() == 3

@@ -31,6 +31,7 @@ def run_booking(
     status: Lookup = fixed_values.STATUS,
     device: Lookup = fixed_values.DEVICE,
     strict_rates: bool = True,
+    day_folders: str | None = None,
     clock: Clock = now,
 ) -> int:
     """Read the window, make canonical rows, merge them; returns the snapshot id.
@@ -40,7 +41,9 @@ def run_booking(
     """
     if not updated_from or not updated_to:
         raise ValueError("a booking load needs both dates of its window")
-    records = read_reservations(spark, input_path, updated_from, updated_to)
+    records = read_reservations(
+        spark, input_path, updated_from, updated_to, day_folders=day_folders
+    )
     if callable(rates):
         rates = fetched_rates(flatten(records), rates)
     rows = canonical_reservations(

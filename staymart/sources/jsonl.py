@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from staymart.functions.fields import as_date
 from staymart.schemas import RAW_RECORD
@@ -18,14 +18,28 @@ def read_reservations(
     updated_from: Bound = None,
     updated_to: Bound = None,
     lenient_dates: bool = False,
+    day_folders: str | None = None,
 ) -> DataFrame:
     """Records whose ``updated`` date lies in the inclusive window.
 
     The schema is given, so the input is read once and nested fields that no
     record has come back as NULL. A malformed line becomes an all-NULL record,
     which any window bound removes.
+
+    If the lines lie in folders by update date, such as ``day=2026-05-07``, name
+    that folder column in ``day_folders``: folders outside of the window are then
+    not opened. The date in the record still decides.
     """
-    records = spark.read.schema(RAW_RECORD).json(path)
+    if not day_folders:
+        records = spark.read.schema(RAW_RECORD).json(path)
+        return within_window(records, updated_from, updated_to, lenient_dates)
+    schema = T.StructType([*RAW_RECORD.fields, T.StructField(day_folders, T.DateType())])
+    records = spark.read.schema(schema).json(path)
+    if updated_from:
+        records = records.filter(F.col(day_folders) >= F.lit(updated_from).cast("date"))
+    if updated_to:
+        records = records.filter(F.col(day_folders) <= F.lit(updated_to).cast("date"))
+    records = records.drop(day_folders)
     return within_window(records, updated_from, updated_to, lenient_dates)
 
 

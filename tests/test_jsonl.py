@@ -83,3 +83,17 @@ def test_several_paths(spark, tmp_path):
     one.write_text('{"updated": "2026-05-07"}\n')
     two.write_text('{"updated": "2026-05-08"}\n')
     assert read_reservations(spark, [str(one), str(two)], "2026-05-01").count() == 2
+
+
+def test_day_folders_are_pruned_and_the_record_decides(spark, tmp_path):
+    days = ["2026-05-06", "2026-05-07", "2026-05-08"]
+    for day in days:
+        folder = tmp_path / f"day={day}"
+        folder.mkdir()
+        (folder / "a.jsonl").write_text(json.dumps({"updated": day}))
+    (tmp_path / "day=2026-05-07" / "late.jsonl").write_text('{"updated": "2026-05-09"}')
+    found = read_reservations(spark, str(tmp_path), days[1], days[1], day_folders="day")
+    assert updates(found) == [days[1]] and "day" not in found.columns
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert len(read_reservations(spark, str(tmp_path), day_folders="day").collect()) == 4

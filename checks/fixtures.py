@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from staymart.local import local_frame
 from staymart.operators.canonical import canonical_reservations
+from staymart.operators.history import latest_snapshot
 from staymart.schemas import RATES
 
 # Long, irregular rates keep clear of half-cent ties, on which engines differ.
@@ -114,8 +115,8 @@ def commit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def syncs(log: DataFrame) -> DataFrame:
     """A sync record an hour after each commit but the newest."""
-    newest = log.agg(F.max("committed_at").alias("newest"))
-    older = log.join(F.broadcast(newest), F.col("committed_at") < F.col("newest"))
+    newest = latest_snapshot(log).select("snapshot_id")
+    older = log.join(F.broadcast(newest), "snapshot_id", "left_anti")
     return older.select(
         "snapshot_id", (F.col("committed_at") + F.expr("INTERVAL 1 HOUR")).alias("processed_at")
     )

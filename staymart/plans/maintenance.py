@@ -17,6 +17,7 @@ from staymart.sources.versions import (
     commit,
     commits,
     file_names,
+    full_uri,
     latest_commit,
     manifest,
     now,
@@ -94,9 +95,9 @@ def expire_snapshots(
 
     still_used = manifests_of(spark, root, commits(spark, root)).select("file")
     unused = unused.join(still_used, "file", "left_anti")
-    data = unused.select(F.concat(F.lit(f"{root}/"), "file").alias("path"))
+    data = unused.select(F.concat(F.lit(f"{full_uri(spark, root)}/"), "file").alias("path"))
     lists = list_files(spark, *(f"{root}/{row['path']}" for row in gone)).select("path")
-    remove_files(data.unionByName(lists), staging_folder(root))
+    remove_files(data.unionByName(lists), staging_folder(spark, root))
     return len(gone)
 
 
@@ -133,7 +134,8 @@ def remove_orphan_files(
     older_than: dt.timedelta = ORPHAN_AGE,
     clock: Clock = now,
 ) -> int:
-    return remove_files(orphan_files(spark, root, older_than, clock), staging_folder(root))
+    orphans = orphan_files(spark, root, older_than, clock)
+    return remove_files(orphans, staging_folder(spark, root))
 
 
 def run_maintenance(

@@ -27,9 +27,13 @@ def relative_to(column: str, pattern: str) -> Column:
 
 
 def _file_system(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """File system and path of a full URI, as Spark's listings give them. A path
+    without a scheme is refused: Spark may take it for another file system."""
     scheme, colon, rest = uri.partition(":")
-    if not colon or scheme == "file":
-        return pyarrow.fs.LocalFileSystem(), "/" + (rest if colon else uri).lstrip("/")
+    if not colon:
+        raise ValueError(f"not a full URI: {uri}")
+    if scheme == "file":
+        return pyarrow.fs.LocalFileSystem(), "/" + rest.lstrip("/")
     if scheme == "s3a":
         uri = f"s3:{rest}"
     return pyarrow.fs.FileSystem.from_uri(uri)

@@ -23,12 +23,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
+from staymart.local import local_frame
 from staymart.operators.history import latest_snapshot
 from staymart.operators.inspection import empty_like
 from staymart.operators.merge import conform, find_matches, updated
-from staymart.local import local_frame
 from staymart.schemas import COMMIT, EXPIRED, KEY, MANIFEST, TEXT, struct
-from staymart.sources.files import remove_folder
+from staymart.sources.files import list_files, remove_folder
 from staymart.sources.tracking import written
 
 Clock = Callable[[], dt.datetime]
@@ -96,15 +96,18 @@ def read_snapshot(spark: SparkSession, root: str, snapshot_id: int | None = None
 # --- writing -----------------------------------------------------------------
 
 
-def create_dataset(df: DataFrame, root: str, clock: Clock = now) -> None:
+def create_dataset(df: DataFrame, root: str, clock: Clock = now) -> Row:
     """A dataset with the columns of ``df`` and an empty first snapshot, unless
-    there is one. The commit log comes last: without it nothing exists."""
+    there is one; returns its newest commit. The commit log comes last: without it
+    nothing exists."""
     spark = df.sparkSession
-    if dataset_exists(spark, root):
-        return
+    existing = latest_commit(spark, root)
+    if existing is not None:
+        return existing
     empty_like(df).coalesce(1).write.mode("overwrite").parquet(f"{root}/schema")
     local_frame(spark, [], EXPIRED).write.mode("overwrite").parquet(f"{root}/expired")
     commit(spark, root, None, "append", local_frame(spark, [], MANIFEST), clock)
+    return latest_commit(spark, root)
 
 
 def file_name() -> Column:
@@ -152,16 +155,22 @@ def commit(
     return snapshot_id
 
 
-def staging_folder(root: str) -> str:
-    return f"{root}/staging/{uuid.uuid4().hex}"
+def full_uri(spark: SparkSession, root: str) -> str:
+    """The root as Spark resolves it, with scheme and host."""
+    listed = list_files(spark, f"{root}/schema").first()["path"]
+    return listed.rsplit("/schema/", 1)[0]
+
+
+def staging_folder(spark: SparkSession, root: str) -> str:
+    """A new folder for intermediate tables; orphan removal finds forgotten ones."""
+    return f"{full_uri(spark, root)}/staging/{uuid.uuid4().hex}"
 
 
 def publish_merge(source: DataFrame, root: str, key: str = KEY, clock: Clock = now) -> int:
     """Merges ``source`` into the dataset, creating it if needed; returns the
     snapshot id. ``source`` is evaluated once."""
     spark = source.sparkSession
-    create_dataset(source, root, clock)
-    base = latest_commit(spark, root)
+    base = create_dataset(source, root, clock)
     old_files = manifest(spark, root, base)
     names = file_names(old_files)
     target = read_files(spark, root, names)
@@ -169,7 +178,7 @@ def publish_merge(source: DataFrame, root: str, key: str = KEY, clock: Clock = n
     if not names:
         return commit(spark, root, base, "append", write_data(rows, root), clock)
 
-    staging = staging_folder(root)
+    staging = staging_folder(spark, root)
     target_keys = target.select(key, file_name()).filter(F.col(key).isNotNull())
     found = find_matches(target_keys, rows, key, staging)
     touched = file_names(found.pairs.select("file").distinct())

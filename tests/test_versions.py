@@ -10,6 +10,7 @@ from staymart.operators.merge import AmbiguousMerge
 from staymart.operators.history import snapshot_history
 from staymart.plans import maintenance as keep
 from staymart.sources import versions as vs
+from staymart.sources.files import remove_folder
 
 DDL = "transaction_id string, v int"
 T0 = dt.datetime(2026, 5, 1, tzinfo=dt.timezone.utc)
@@ -262,6 +263,18 @@ def test_expiry_that_stopped_half_way_is_finished_by_orphan_removal(spark, root)
     assert bag(vs.read_snapshot(spark, root)) == Counter([("a", 2)])
 
 
+def test_root_without_scheme(spark, root):
+    """Files are removed where Spark put them, and never by a guess."""
+    relative = os.path.relpath(root)
+    vs.publish_merge(frame(spark, ("a", 1)), relative)
+    vs.publish_merge(frame(spark, ("a", 2)), relative)
+    assert on_disk(root, "staging") == set() and len(with_rows(root)) == 2
+    assert keep.expire_snapshots(spark, relative, 1, clock=later(30)) == 2
+    assert with_rows(root) == files(spark, root)
+    with pytest.raises(ValueError, match="full URI"):
+        remove_folder("/some/folder")
+
+
 def test_all_maintenance(spark, root):
     clock = Days()
     for i in range(6):

@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -186,3 +187,15 @@ def test_target_scan_is_cut_to_the_key_range(spark, tmp_path):
     assert "GreaterThanOrEqual(transaction_id,150)" in plan
     assert "LessThanOrEqual(transaction_i" in plan  # cut short in the plan text
     assert "ReadSchema: struct<transaction_id:string>" in plan
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_merges_equal_row_by_row(spark, tmp_path, seed):
+    """Few keys, so that most of them repeat; the source repeats new keys only."""
+    rng = random.Random(seed)
+    target = [(rng.choice("abcdefgh") if rng.random() < 0.8 else None, i) for i in range(40)]
+    keys = {row[0] for row in target}
+    old = [(key, 100 + i) for i, key in enumerate("abcdefgh") if key in keys and rng.random() < 0.5]
+    new = [(rng.choice(["x", "y", "z", None]), 200 + i) for i in range(seed * 5)]
+    out = merge_upsert(frame(spark, *target), frame(spark, *(old + new)), folder=str(tmp_path / "s"))
+    assert bag(out) == reference_merge(target, old + new)

@@ -179,14 +179,15 @@ def publish_merge(source: DataFrame, root: str, key: str = KEY, clock: Clock = n
         return commit(spark, root, base, "append", write_data(rows, root), clock)
 
     staging = staging_folder(spark, root)
-    target_keys = target.select(key, file_name()).filter(F.col(key).isNotNull())
-    found = find_matches(target_keys, rows, key, staging)
-    touched = file_names(found.pairs.select("file").distinct())
-    rewritten = updated(read_files(spark, root, touched), found.updates, key)
-    new_files = write_data(rewritten.unionByName(found.inserts), root)
-    replaced = local_frame(spark, [(name,) for name in touched], struct(file=TEXT))
-    files = old_files.join(replaced, "file", "left_anti").unionByName(new_files)
-    operation = "overwrite" if touched else "append"
-    snapshot_id = commit(spark, root, base, operation, files, clock)
-    remove_folder(staging)
-    return snapshot_id
+    try:
+        target_keys = target.select(key, file_name()).filter(F.col(key).isNotNull())
+        found = find_matches(target_keys, rows, key, staging)
+        touched = file_names(found.pairs.select("file").distinct())
+        rewritten = updated(read_files(spark, root, touched), found.updates, key)
+        new_files = write_data(rewritten.unionByName(found.inserts), root)
+        replaced = local_frame(spark, [(name,) for name in touched], struct(file=TEXT))
+        files = old_files.join(replaced, "file", "left_anti").unionByName(new_files)
+        operation = "overwrite" if touched else "append"
+        return commit(spark, root, base, operation, files, clock)
+    finally:
+        remove_folder(staging)

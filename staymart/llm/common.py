@@ -29,6 +29,21 @@ def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
 
 
+def in_order(doc_id: str, row: str) -> Column:
+    """One number that orders rows by id, null last, and then by row number.
+
+    Decimals are grouped minima that Spark combines in place. An id has 19 digits and a
+    row number, whose upper part is a partition, fewer than 18.
+    """
+    last = F.lit("9223372036854775808").cast("decimal(19,0)")
+    ids = F.coalesce(F.col(doc_id).cast("decimal(19,0)"), last)
+    return (ids * F.lit("1000000000000000000").cast("decimal(19,0)") + F.col(row)).cast("decimal(38,0)")
+
+
+def row_of(order: Column) -> Column:
+    return F.pmod(order, F.lit("1000000000000000000").cast("decimal(19,0)")).cast("long")
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[dict[str, list]]:
     """Columns of a few rows at a time, so that no more than some MB of text are copied."""
     for batch in batches:

@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from staymart.llm.common import table
+from staymart.llm.mixing import MIXTURE_SQL, mixture
+from staymart.llm.packing import pieces
 from staymart.llm.quality_model import quality_scores, rule_ensemble_for
 from staymart.llm.quality_rules import judged, rules_for
 from staymart.llm.simhash import simhash_groups
 
+#: The vocabulary files that the queries use; any other place is a parameter of the operators.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -35,3 +42,16 @@ def op8_quality_rules(spark, sf_dir):
 @query
 def op9_simhash(spark, sf_dir):
     return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_mixing(spark, sf_dir):
+    return mixture(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op5_mixing"] = MIXTURE_SQL
+
+
+@query
+def op7_packing(spark, sf_dir):
+    return pieces(table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False)

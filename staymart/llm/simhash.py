@@ -22,7 +22,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from staymart.llm.common import scan, utf8
+from staymart.llm.common import in_order, row_of, scan, utf8
 from staymart.llm.components import connected_components
 from staymart.scratch import scratch_folder, stage
 
@@ -231,3 +231,34 @@ def simhash_groups(docs: DataFrame, parts: int = 3, most: int = 256) -> DataFram
     return fps.join(placed, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def first_of_groups(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` less all but one of each group, with all their columns.
+
+    The row of smallest id stays; of repeated rows with that id, one; of a group without ids,
+    one. ``docs`` is written once with a row number, so that a row has one identity.
+    """
+    folder = scratch_folder(docs.sparkSession)
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    held = stage(numbered, folder, "docs")
+    fps = stage(
+        scan(
+            held,
+            ["__row", "doc_id", "text"],
+            lambda part: {
+                "row": part["__row"],
+                "doc_id": part["doc_id"],
+                "fp": [fingerprint(x) for x in part["text"]],
+            },
+            "row long, doc_id long, fp long",
+        ),
+        folder,
+        "fingerprints",
+    )
+    nodes = stage(fps.groupBy("fp").agg(F.min(in_order("doc_id", "row")).alias("first")), folder, "nodes")
+    groups = connected_components(near_links(nodes, folder), folder)
+    placed = nodes.join(groups, nodes.fp == groups.node, "left")
+    keep = placed.groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("first").alias("first"))
+    rows = keep.select(row_of(F.col("first")).alias("__row"))
+    return held.join(rows, "__row", "left_semi").select(*docs.columns)

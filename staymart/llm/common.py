@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -79,3 +80,10 @@ def to_arrow(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return to_arrow_schema(schema)
+
+
+def stage_text(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """``stage`` for tables that hold texts, which zstd makes about a third smaller."""
+    path = f"{folder}/{name}-{uuid.uuid4().hex[:8]}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,11 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from staymart.llm.common import table
+from staymart.llm.embeddings import vector_groups
+from staymart.llm.language import fit_languages, languages_of
+from staymart.llm.lines import line_report
 from staymart.llm.mixing import MIXTURE_SQL, mixture
 from staymart.llm.packing import pieces
 from staymart.llm.quality_model import quality_scores, rule_ensemble_for
 from staymart.llm.quality_rules import judged, rules_for
+from staymart.llm.secrets import secret_scan
 from staymart.llm.simhash import simhash_groups
+from staymart.llm.token_counts import token_counts
 
 #: The vocabulary files that the queries use; any other place is a parameter of the operators.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +32,27 @@ def query(fn):
     return fn
 
 
+@query
+def op1_secret_scan(spark, sf_dir):
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_embedding_dedup(spark, sf_dir):
+    return vector_groups(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op3_token_counts(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+@query
+def op4_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return languages_of(docs, fit_languages(docs))
+
+
 @query
 def op6_quality_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -55,3 +81,8 @@ ORACLES["op5_mixing"] = MIXTURE_SQL
 @query
 def op7_packing(spark, sf_dir):
     return pieces(table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False)
+
+
+@query
+def op10_line_dedup(spark, sf_dir):
+    return line_report(table(spark, sf_dir, "documents"))

@@ -94,9 +94,12 @@ def banded_distance(a: str, b: str, edits: int = EDITS) -> Column:
     above. ``score`` follows the lowest diagonal; at the end the rises and falls below the
     last row of ``a`` are taken off. The arguments should differ in length by ``edits`` at most.
     """
+    return let(letters(a), lambda xs: let(letters(b), lambda ys: banded(xs, ys, edits)))
+
+
+def banded(xs: Column, ys: Column, edits: int) -> Column:
     width = 2 * edits + 1
     full, below = (1 << width) - 1, (1 << edits) - 1
-    xs, ys = F.col("__xs"), F.col("__ys")
 
     def step(state: Column, j: Column) -> Column:
         y = F.get(ys, j - 1)
@@ -143,8 +146,7 @@ def banded_distance(a: str, b: str, edits: int = EDITS) -> Column:
 
 def within(pairs: DataFrame) -> DataFrame:
     """The rows of ``pairs(a, b, x, y)`` whose lines ``x`` and ``y`` are near."""
-    cut = pairs.withColumns({"__xs": letters("x"), "__ys": letters("y")})
-    return cut.where(banded_distance("x", "y") <= EDITS).drop("__xs", "__ys")
+    return pairs.where(banded_distance("x", "y") <= EDITS)
 
 
 def candidates(lines: DataFrame, classes: DataFrame, total: int) -> DataFrame:

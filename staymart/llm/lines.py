@@ -197,7 +197,7 @@ def repeated_lines(docs: DataFrame) -> Found:
     occurrence and ``first_doc_id, first_pos`` of what stays in its place.
     """
     folder = scratch_folder(docs.sparkSession)
-    held = stage_text(docs.withColumn("row", F.monotonically_increasing_id()) if "row" not in docs.columns else docs, folder, "held")
+    held = stage_text(docs.withColumn("row", F.monotonically_increasing_id()), folder, "held")
     lines = numbered_lines(held)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "pos")
     classes = stage(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")), folder, "classes")
@@ -239,7 +239,8 @@ def line_report(docs: DataFrame) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated lines taken out of ``text``, other columns as they are.
+    """``docs`` with repeated lines taken out of ``text``, other columns as they are, but for
+    ``n_chars``, if there is one, which is the new length where the text has changed.
 
     A document that has no word left after it lost lines is left out; it was made of
     repeats. Other documents, also empty ones, stay.
@@ -255,4 +256,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     left = F.when(F.col("cuts").isNull(), F.col("text")).otherwise(F.concat_ws("\n", F.flatten(parts)))
     rows = rows.withColumn("text", left)
     rows = rows.where(F.col("cuts").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    if "n_chars" in names:
+        old = F.col(names["n_chars"])
+        new = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        rows = rows.withColumn(names["n_chars"], F.when(F.col("cuts").isNull(), old).otherwise(new))
     return rows.select(*[F.col(names.get(c, c)).alias(c) for c in docs.columns])

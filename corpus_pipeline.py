@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from staymart.llm.common import table
+from staymart.llm.lines import without_repeats
 from staymart.llm.mixing import repeated
 from staymart.llm.packing import pieces
 from staymart.llm.quality_rules import keep_good, rules_for
@@ -27,6 +28,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_good(docs, rules_for(docs, sf_dir))
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that repeat, nearly or exactly, a line elsewhere.
+
+    ``n_chars`` is set anew where the text has changed.
+    """
+    return without_repeats(docs)
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near fingerprints, the one of smallest id."""
     return first_of_groups(docs)
@@ -44,6 +53,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
     ("simhash_near_dedup", simhash_near_dedup),
     ("source_mixture", source_mixture),
     ("packing", packing),

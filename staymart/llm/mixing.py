@@ -23,7 +23,7 @@ WEIGHTS = (1, 2, 3)
 #: A target is at most so many times the size of its source.
 MOST_REPEATS = 3
 #: Rows of a slot, on average at most; the bound for one task's sort.
-SLOT_ROWS = 20_000
+SLOT_ROWS = 4_000
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -125,7 +125,7 @@ def mixture(docs: DataFrame, seed: int = 0, slot_rows: int = SLOT_ROWS) -> DataF
 MIXTURE_SQL = r"""
 WITH sizes AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
-slots AS (SELECT greatest(1, CAST(ceil(count(*) / 20000.0) AS BIGINT)) AS k FROM sizes),
+slots AS (SELECT greatest(1, CAST(ceil(count(*) / 4000.0) AS BIGINT)) AS k FROM sizes),
 weighted AS (
   SELECT source, source_size, 3 * source_size AS cap,
     1 + (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 AS weight

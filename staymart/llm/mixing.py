@@ -171,6 +171,6 @@ def repeated(docs: DataFrame, seed: int = 0, slot_rows: int = SLOT_ROWS) -> Data
     )
     sizes = stage(counted, folder, "sizes")
     taken = placed(sizes, targets(sizes), seed, slot_rows).where("copies > 0")
-    copies = taken.select(F.col("doc_id").alias("__row"), "copies")
-    each = held.join(copies, "__row").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    copies = taken.select(F.col("doc_id").alias("__row"), F.col("copies").alias("__copies"))
+    each = held.join(copies, "__row").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies")))
     return each.select(*docs.columns)

@@ -102,6 +102,10 @@ def banded(xs: Column, ys: Column, edits: int) -> Column:
     full, below = (1 << width) - 1, (1 << edits) - 1
 
     def step(state: Column, j: Column) -> Column:
+        lost = state["score"] - F.bit_count(state["up"]) > edits  # all rows of the band are beyond
+        return F.when(lost, state).otherwise(next_column(state, j))
+
+    def next_column(state: Column, j: Column) -> Column:
         y = F.get(ys, j - 1)
         match = F.lit(0)
         for i in range(width):
@@ -138,12 +142,25 @@ def banded(xs: Column, ys: Column, edits: int) -> Column:
         beyond = F.lit((1 << (width - 1)) - 1).cast("long")
         rows = beyond.bitwiseAND(F.bitwise_not(F.call_function("shiftleft", F.lit(1).cast("long"), m - n + edits) - 1))
         off = F.bit_count(state["up"].bitwiseAND(rows)) - F.bit_count(state["down"].bitwiseAND(rows))
-        return state["score"] - off
+        lost = state["score"] - F.bit_count(state["up"]) > edits
+        return F.when(lost, F.lit(edits + 1)).otherwise(state["score"] - off)
 
     steps = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
     return F.when(F.abs(n - m) > edits, F.lit(edits + 1)).otherwise(F.aggregate(steps, start, step, ended))
 
 
+def parity(line: str) -> Column:
+    """A bit per kind of letter, by code point modulo 64: is its number odd? An insertion or
+    deletion flips one bit, a substitution two at most."""
+    return F.aggregate(
+        letters(line),
+        F.lit(0).cast("long"),
+        lambda bits, c: bits.bitwiseXOR(
+            F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c).bitwiseAND(F.lit(63)))
+        ),
+    )
+
+
 def within(pairs: DataFrame) -> DataFrame:
     """The rows of ``pairs(a, b, x, y)`` whose lines ``x`` and ``y`` are near."""
     return pairs.where(banded_distance("x", "y") <= EDITS)
@@ -174,11 +191,17 @@ def texts_of(lines: DataFrame, pairs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_lines(lines: DataFrame, classes: DataFrame, total: int, folder: str) -> DataFrame:
+    """``(a, b)``: first hashes of lines within ``EDITS``. Letter parities, a number per line,
+    rule out most candidates before texts are joined to them."""
     pairs = stage(candidates(lines, classes, total), folder, "candidates")
-    texts = stage_text(texts_of(lines, pairs, folder), folder, "texts")
+    texts = texts_of(lines, pairs, folder).withColumn("parity", parity("line"))
+    texts = stage_text(texts, folder, "texts")
+    marks = texts.select("h", "parity")
+    likely = pairs.join(marks.toDF("a", "p"), "a").join(marks.toDF("b", "q"), "b")
+    likely = likely.where(F.bit_count(F.col("p").bitwiseXOR(F.col("q"))) <= 2 * EDITS).select("a", "b")
     one = texts.select(F.col("h").alias("a"), F.col("line").alias("x"))
     other = texts.select(F.col("h").alias("b"), F.col("line").alias("y"))
-    return within(pairs.join(one, "a").join(other, "b")).select("a", "b")
+    return within(likely.join(one, "a").join(other, "b")).select("a", "b")
 
 
 @dataclass

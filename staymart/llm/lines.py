@@ -3,10 +3,10 @@
 Two lines are near-duplicates if at most ``EDITS`` insertions, deletions and substitutions
 turn one into the other. A line is cut into ``EDITS + 1`` segments; of two such lines, the
 longer one holds one of the shorter one's segments unchanged, at a place that the lengths
-bound to a few. So each line is indexed under its segments, by number, length of the line
-and text, and probes the substrings at those places for all lengths down to its own less
-``EDITS``. What meets is verified by bit-parallel edit distance within the band of
-diagonals that ``EDITS`` edits can reach.
+bound to a few. So each line is indexed under its segments, by number and text, whose length
+tells the line's but for one or two, and probes the substrings at those places for all
+lengths down to its own less ``EDITS``. What meets is verified by bit-parallel edit
+distance within the band of diagonals that ``EDITS`` edits can reach.
 
 A line is known by two 64-bit hashes; the links between lines by the first of them. Copies
 of a line are one node. Lines so frequent that at most ``COMMON`` of them can exist are
@@ -17,8 +17,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from staymart.llm.common import stage_text
 from staymart.llm.components import connected_components
@@ -31,12 +33,16 @@ LEAST_CHARS = 20
 COMMON = 10_000
 #: Ids of candidate lines are broadcast up to this number (16 MB), and joined beyond it.
 MOST_BROADCAST = 1_000_000
+#: A key under which more lines are indexed is crowded: its pairs go by letter parities.
+CROWD = 32
 BLANKS = " \t\x0b\x0c\r"
 
 
 def numbered_lines(held: DataFrame) -> DataFrame:
     """``row, doc_id, pos, line`` for lines of ``LEAST_CHARS`` or more."""
-    line = F.btrim(F.col("raw"), F.lit(BLANKS))
+    plain = F.trim("raw")  # the other blanks, rare at the ends of lines, take longer to look for
+    ends = [f(plain, F.lit(c)) for c in BLANKS[1:] for f in (F.startswith, F.endswith)]
+    line = F.when(reduce(or_, ends), F.btrim(F.col("raw"), F.lit(BLANKS))).otherwise(plain)
     rows = held.select("row", "doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "raw"))
     rows = rows.select("row", "doc_id", "pos", line.alias("line"))
     return rows.where(F.char_length("line") >= LEAST_CHARS).select(
@@ -52,12 +58,12 @@ def segment(length: Column, i: int) -> tuple[Column, Column]:
     return F.lit(1) + (i - 1) * base + longer, base + F.when(rest > parts - i, 1).otherwise(0)
 
 
-def key_of(start: Column, size: Column, i: int, length: Column) -> Column:
-    return F.xxhash64(F.substring(F.col("line"), start, size), F.lit(i), length)
+def key_of(start: Column, size: Column, i: int) -> Column:
+    return F.xxhash64(F.substring(F.col("line"), start, size), F.lit(i))
 
 
 def index_keys(length: Column) -> Column:
-    return F.array(*[key_of(*segment(length, i), i, length) for i in range(1, EDITS + 2)])
+    return F.array(*[key_of(*segment(length, i), i) for i in range(1, EDITS + 2)])
 
 
 def probe_keys(length: Column) -> Column:
@@ -73,8 +79,8 @@ def probe_keys(length: Column) -> Column:
             start, size = segment(short, i)
             first = max(1 - i, less - (EDITS + 1 - i))
             last = min(i - 1, less + (EDITS + 1 - i))
-            keys += [key_of(start + move, size, i, short) for move in range(first, last + 1)]
-    return F.array(*keys)
+            keys += [key_of(start + move, size, i) for move in range(first, last + 1)]
+    return F.array_distinct(F.array(*keys))
 
 
 def letters(line: str) -> Column:
@@ -149,16 +155,23 @@ def banded(xs: Column, ys: Column, edits: int) -> Column:
     return F.when(F.abs(n - m) > edits, F.lit(edits + 1)).otherwise(F.aggregate(steps, start, step, ended))
 
 
-def parity(line: str) -> Column:
-    """A bit per kind of letter, by code point modulo 64: is its number odd? An insertion or
-    deletion flips one bit, a substitution two at most."""
-    return F.aggregate(
-        letters(line),
-        F.lit(0).cast("long"),
-        lambda bits, c: bits.bitwiseXOR(
-            F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c).bitwiseAND(F.lit(63)))
-        ),
-    )
+def mark_of(line: str) -> Column:
+    """Struct ``singles, pairs``: a bit per kind of letter, and of pair of neighbours, hashed
+    to 64 kinds each: is its number odd? An edit flips two bits of singles and four of pairs
+    at most."""
+    one = F.lit(1).cast("long")
+    start = F.struct(F.lit(0).cast("long").alias("singles"), F.lit(0).cast("long").alias("pairs"), F.lit(0).alias("last"))
+
+    def step(state: Column, c: Column) -> Column:
+        code = F.ascii(c)
+        pair = F.shiftright(state["last"] * 1103 + code * 613, 3).bitwiseAND(F.lit(63))
+        return F.struct(
+            state["singles"].bitwiseXOR(F.call_function("shiftleft", one, code.bitwiseAND(F.lit(63)))).alias("singles"),
+            state["pairs"].bitwiseXOR(F.call_function("shiftleft", one, pair)).alias("pairs"),
+            code.alias("last"),
+        )
+
+    return F.aggregate(letters(line), start, step, lambda s: F.struct(s["singles"], s["pairs"]))
 
 
 def within(pairs: DataFrame) -> DataFrame:
@@ -166,8 +179,12 @@ def within(pairs: DataFrame) -> DataFrame:
     return pairs.where(banded_distance("x", "y") <= EDITS)
 
 
-def candidates(lines: DataFrame, classes: DataFrame, total: int) -> DataFrame:
-    """``(a, b)``, ``a < b``: first hashes of different lines that share a segment."""
+def segment_keys(lines: DataFrame, classes: DataFrame, total: int, folder: str) -> DataFrame:
+    """``key, p, some``: lines ``p`` that probe a key, with up to ``CROWD`` lines indexed there.
+
+    Keys that only the line itself has are left out. One more than ``CROWD`` tells a crowded
+    key. A row per probe, however many lines are indexed under its key.
+    """
     common = F.broadcast(classes.where(F.col("n") > total / COMMON).select("h1", "h2"))
     rare = lines.join(common, ["h1", "h2"], "left_anti").select("h1", "line")
     once = lines.join(common, ["h1", "h2"]).groupBy("h1", "h2").agg(F.min("line").alias("line"))
@@ -177,31 +194,71 @@ def candidates(lines: DataFrame, classes: DataFrame, total: int) -> DataFrame:
         rows = every.select(F.explode(keys).alias("key"), F.col("h1").alias(name))
         return rows.repartition("key").dropDuplicates(["key", name])
 
-    met = keyed(probe_keys(F.col("length")), "p").join(keyed(index_keys(F.col("length")), "q"), "key")
-    return met.where("p <> q").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    place = F.row_number().over(Window.partitionBy("key").orderBy("q"))
+    first = keyed(index_keys(F.col("length")), "q").withColumn("place", place).where(F.col("place") <= CROWD + 1)
+    some = first.groupBy("key").agg(F.collect_list("q").alias("some"))
+    probes = keyed(probe_keys(F.col("length")), "p").join(some, "key")
+    return stage(probes.where((F.size("some") > 1) | (F.get("some", F.lit(0)) != F.col("p"))), folder, "probes")
 
 
-def texts_of(lines: DataFrame, pairs: DataFrame, folder: str) -> DataFrame:
-    """``h, line`` of the lines in ``pairs``."""
-    ids = stage(pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct(), folder, "ids")
+def texts_and_marks(lines: DataFrame, ids: DataFrame) -> DataFrame:
+    """``h, line, mark`` of the lines whose first hash is in ``ids(h1)``."""
     few = ids.count() <= MOST_BROADCAST
     chosen = lines.join(F.broadcast(ids) if few else ids, "h1", "left_semi")
     rows = chosen.groupBy("h1", "h2").agg(F.min("line").alias("line"))
-    return rows.select(F.col("h1").alias("h"), "line")
+    mark = F.struct(mark_of("line").alias("odd"), F.char_length("line").alias("length"))
+    return rows.select(F.col("h1").alias("h"), "line", mark.alias("mark"))
+
+
+def alike(p: str, q: str) -> Column:
+    """May two lines be near, by their marks in columns ``p`` and ``q``?"""
+
+    def apart(kind: str) -> Column:
+        return F.bit_count(F.col(f"{p}.odd.{kind}").bitwiseXOR(F.col(f"{q}.odd.{kind}")))
+
+    near = F.abs(F.col(f"{p}.length") - F.col(f"{q}.length")) <= EDITS
+    return near & (apart("singles") <= 2 * EDITS) & (apart("pairs") <= 4 * EDITS)
+
+
+def ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+
+
+def crowded_pairs(crowd: DataFrame, marks: DataFrame) -> DataFrame:
+    """``a, b`` of lines in a crowded key that may be near.
+
+    Parities of single letters differ, for near lines, in ``2 * EDITS`` bits at most, so of one part more, every
+    so many bits, one is equal. Lines meet only under an equal part of it.
+    """
+    parts = 2 * EDITS + 1
+    masks = [sum(1 << b for b in range(64) if b % parts == k) for k in range(parts)]
+    bits = [F.col("mark.odd.singles").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) for m in masks]
+    rows = crowd.join(marks, crowd.p == marks.h).select("key", "p", "mark", F.posexplode(F.array(*bits)).alias("part", "bits"))
+    other = rows.select("key", "part", "bits", F.col("p").alias("q"), F.col("mark").alias("other"))
+    return ordered(rows.join(other, ["key", "part", "bits"]).where((F.col("p") < F.col("q")) & alike("mark", "other")))
 
 
 def near_lines(lines: DataFrame, classes: DataFrame, total: int, folder: str) -> DataFrame:
-    """``(a, b)``: first hashes of lines within ``EDITS``. Letter parities, a number per line,
-    rule out most candidates before texts are joined to them."""
-    pairs = stage(candidates(lines, classes, total), folder, "candidates")
-    texts = texts_of(lines, pairs, folder).withColumn("parity", parity("line"))
-    texts = stage_text(texts, folder, "texts")
-    marks = texts.select("h", "parity")
-    likely = pairs.join(marks.toDF("a", "p"), "a").join(marks.toDF("b", "q"), "b")
-    likely = likely.where(F.bit_count(F.col("p").bitwiseXOR(F.col("q"))) <= 2 * EDITS).select("a", "b")
+    """``(a, b)``: first hashes of lines within ``EDITS``.
+
+    A line's mark, three numbers, rules out most candidates before texts
+    are joined to them. All lines indexed under a crowded key also probe it, so its pairs are
+    found among its probes.
+    """
+    probes = segment_keys(lines, classes, total, folder)
+    listed = probes.select(F.col("p").alias("h1")).union(probes.select(F.explode("some")))
+    ids = stage(listed.distinct(), folder, "ids")
+    texts = stage_text(texts_and_marks(lines, ids), folder, "texts")
+    marks = texts.select("h", "mark")
+    crowded = F.size("some") > CROWD
+    thin = ordered(probes.where(~crowded).select("p", F.explode("some").alias("q")).where("p <> q"))
+    one, two = marks.toDF("a", "x"), marks.toDF("b", "y")
+    thin = thin.join(one, "a").join(two, "b").where(alike("x", "y")).select("a", "b")
+    dense = crowded_pairs(probes.where(crowded).select("key", "p"), marks)
+    pairs = stage(thin.union(dense).distinct(), folder, "pairs")
     one = texts.select(F.col("h").alias("a"), F.col("line").alias("x"))
-    other = texts.select(F.col("h").alias("b"), F.col("line").alias("y"))
-    return within(likely.join(one, "a").join(other, "b")).select("a", "b")
+    two = texts.select(F.col("h").alias("b"), F.col("line").alias("y"))
+    return within(pairs.join(one, "a").join(two, "b")).select("a", "b")
 
 
 @dataclass

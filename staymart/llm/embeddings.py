@@ -27,6 +27,8 @@ from staymart.scratch import scratch_folder, stage
 
 SEED = 20_011
 COSINE = 0.93
+#: A group of vectors to be compared: one filter of one label, one pair of its blocks.
+KEYS = ["width", "label", "filter", "one", "two"]
 
 
 @lru_cache(maxsize=8)
@@ -103,41 +105,83 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def compared(key, rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
-    """Links inside one group: per vector how many, counted where the pair first meets, and
-    the smallest node of its part of the group's links."""
-    number, one, two = int(key[2]), int(key[3]), int(key[4])
-    x = unit_rows(np.stack(rows["vector"].to_numpy()).astype(np.float64))
-    side = rows["block"].to_numpy()
-    node, copies = rows["node"].to_numpy(), rows["copies"].to_numpy()
-    near = (x @ x.T) >= cosine
-    np.fill_diagonal(near, False)
-    if one != two:
-        near &= side[:, None] != side[None, :]
+def pairs_within(group: np.ndarray, split: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places ``i < j`` of all pairs of rows of a group; ``group`` is sorted. In a group of
+    two blocks only pairs across them."""
+    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    ends = np.append(starts[1:], len(group))
+    later = np.repeat(ends, ends - starts) - np.arange(len(group)) - 1
+    i = np.repeat(np.arange(len(group)), later)
+    j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(later) - later, later)
+    used = ~split[i] | (side[i] != side[j])
+    return i[used], j[used]
+
+
+def compared(rows: pd.DataFrame, cosine: float) -> pa.RecordBatch:
+    """Links inside the groups of ``rows``, which are sorted by group: per node and group how
+    many, each pair counted under the first filter where it meets, and the smallest node of
+    the node's part of the group's links."""
+    vectors = rows["vector"].to_numpy()
+    x = unit_rows(np.array([*vectors], np.float64))
+    number, node, copies = rows["filter"].to_numpy(), rows["node"].to_numpy(), rows["copies"].to_numpy()
+    i, j = pairs_within(rows["group"].to_numpy(), (rows["one"] != rows["two"]).to_numpy(), rows["block"].to_numpy())
+    near = np.concatenate(
+        [np.einsum("ij,ij->i", x[i[k : k + 100_000]], x[j[k : k + 100_000]]) >= cosine for k in range(0, len(i), 100_000)]
+        or [np.zeros(0, bool)]
+    )
+    i, j = i[near], j[near]
+    before = {k: frozenset(f[f < number[k]].tolist()) for k in np.unique([i, j]) for f in (rows["filters"].iat[k],)}
+    first = np.fromiter((before[a].isdisjoint(before[b]) for a, b in zip(i, j)), bool, len(i))
+    links = np.bincount(i[first], copies[j[first]], len(rows)) + np.bincount(j[first], copies[i[first]], len(rows))
     root = node.copy()
     while True:  # labels move along links until they rest
-        low = np.where(near, root[None, :], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
-        if not (low < root).any():
+        last = root.copy()
+        np.minimum.at(root, i, root[j])
+        np.minimum.at(root, j, root[i])
+        if (root == last).all():
             break
-        root = np.minimum(root, low)
-    smaller = [f[f < number] for f in rows["filters"]]
-    known = {f: i for i, f in enumerate(sorted({x for f in smaller for x in f}))}
-    met = np.zeros((len(rows), max(1, len(known))), np.float32)
-    for i, f in enumerate(smaller):
-        met[i, [known[x] for x in f]] = 1
-    first = near & ~((met @ met.T) > 0)
-    links = first.astype(np.float64) @ copies
-    kept = near.any(axis=1)
-    return pd.DataFrame({"node": node[kept], "root": root[kept], "links": links[kept].astype(np.int64)})
+    kept = np.unique(np.concatenate([i, j])).astype(np.int64)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(node[kept]), pa.array(root[kept]), pa.array(links[kept].astype(np.int64))], ["node", "root", "links"]
+    )
+
+
+def whole_groups(batches, most: int):
+    """Sorted rows as frames of about ``most`` rows that break between groups only. ``width``
+    is part of a group, and a frame holds one width."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        part = batch.to_pandas()
+        start = 0
+        keys = part[KEYS].to_numpy()
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        if held and len(part) and (held[-1][KEYS].to_numpy()[-1] != keys[0]).any():
+            cuts = np.append(0, cuts)
+        for cut in cuts.tolist():
+            rows = sum(map(len, held)) + cut - start
+            last = held[-1].iloc[-1] if cut == 0 else part.iloc[cut - 1]
+            if rows >= most or last["width"] != part.iloc[cut]["width"]:
+                held.append(part.iloc[start:cut])
+                yield pd.concat(held, ignore_index=True)
+                held, start = [], cut
+        if start < len(part):
+            held.append(part.iloc[start:])
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def numbered(rows: pd.DataFrame) -> pd.DataFrame:
+    keys = rows[KEYS].to_numpy()
+    return rows.assign(group=np.append(0, np.cumsum((keys[1:] != keys[:-1]).any(axis=1))))
 
 
 def vector_groups(
     vectors: DataFrame,
     cosine: float = COSINE,
     blocks: int = 4,
-    code: int = 24,
-    threshold: float = 0.5,
-    least: int = 32,
+    code: int = 40,
+    threshold: float = 0.54,
+    least: int = 48,
     block_rows: int = 256,
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` per row of ``vectors(vec_id, embedding, label)``.
@@ -151,10 +195,11 @@ def vector_groups(
     """
     folder = scratch_folder(vectors.sparkSession)
     rows = vectors.select(
-        "vec_id", F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<double>").alias("vector")
+        "vec_id", F.col("label").cast("int").alias("label"), F.col("embedding").alias("vector")
     )
     rows = rows.withColumn("used", F.coalesce(usable("vector"), F.lit(False)))
-    clean = F.transform("vector", lambda x: x + F.lit(0.0))  # -0.0 and 0.0 are one value
+    kind = vectors.schema["embedding"].dataType.elementType
+    clean = F.transform("vector", lambda x: F.when(x == 0, F.lit(0).cast(kind)).otherwise(x))  # no -0.0
     alike = rows.where("used").groupBy("label", clean.alias("vector"))
     nodes = alike.agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), folder, "nodes")
@@ -169,9 +214,13 @@ def vector_groups(
     )
     met = met.select("node", "label", "width", "filter", "block", F.inline(others))
     full = met.join(lists.select("node", "filters"), "node").join(nodes.select("node", "vector", "copies"), "node")
-    found = full.groupBy("label", "width", "filter", "one", "two").applyInPandas(
-        lambda key, part: compared(key, part, cosine), "node long, root long, links long"
-    )
+
+    def over(batches):
+        for rows in whole_groups(batches, 2_000):
+            yield compared(numbered(rows), cosine)
+
+    together = full.repartition(*KEYS).sortWithinPartitions(*KEYS)
+    found = together.mapInArrow(over, "node long, root long, links long")
     found = stage(found, folder, "found")
     groups = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), folder)
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))

@@ -91,5 +91,5 @@ def test_recall_at_the_bound():
     z = rng.standard_normal((400, 64))
     z = unit_rows(z - (z * a).sum(1, keepdims=True) * a)
     b = 0.93 * a + math.sqrt(1 - 0.93**2) * z
-    pairs = zip(passed(a, 4, 24, 0.5, 32), passed(b, 4, 24, 0.5, 32))
+    pairs = zip(passed(a, 4, 40, 0.54, 48), passed(b, 4, 40, 0.54, 48))
     assert np.mean([len(np.intersect1d(x, y)) > 0 for x, y in pairs]) >= 0.95

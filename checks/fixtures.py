@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from checks import literals
 from staymart.local import local_frame
 from staymart.operators.canonical import canonical_reservations
 from staymart.operators.history import latest_snapshot
@@ -13,16 +14,11 @@ from staymart.schemas import RATES
 
 # Long, irregular rates keep clear of half-cent ties, on which engines differ.
 # XTS, which occurs in the data, has none.
-USD_RATES = {"USD": 1.0, "EUR": 1.08371259, "GBP": 1.27194637, "JPY": 0.00673519}
-
-# Region lookup of the countries in the data; the data also has the unlisted ZZ.
-REGIONS = {
-    "US": "Northern America",
-    "GB": "Europe",
-    "FR": "Europe",
-    "JP": "Asia",
-    "BR": "Latin America",
-}
+USD_RATES = {currency: float(rate) for currency, rate in literals.RATES}
+ALL_RATES = USD_RATES | {literals.XTS_RATE[0]: float(literals.XTS_RATE[1])}
+
+# All listed countries, then one that is not.
+COUNTRIES = " ".join([*literals.REGION.values(), "ZZ"]).split()
 
 # The tables' order dates run from 1995 into 2001. The year 1998 is in both parts.
 EARLY_END = dt.date(1998, 12, 31)
@@ -72,19 +68,15 @@ def usd_rates(spark: SparkSession) -> DataFrame:
 
 
 def canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canonical_reservations(
-        raw_records(spark, sf_dir), REGIONS, USD_RATES, strict_rates=False
-    )
+    return canonical_reservations(raw_records(spark, sf_dir), USD_RATES, strict_rates=False)
 
 
-def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Few columns of the reservations, for queries about writing."""
-    return raw_records(spark, sf_dir).selectExpr(
-        "accommodations.reservation AS transaction_id",
-        "status",
-        "CAST(start AS DATE) AS check_in_date",
-        "CAST(commission.estimate_commission_amount.booker_currency AS DECIMAL(18,2)) AS revenue",
-    )
+def amended(records: DataFrame) -> DataFrame:
+    """The later raw records as they come in again: with another status and twice the amount."""
+    amount = "commission.estimate_commission_amount.booker_currency"
+    later = records.filter(F.col("updated") >= F.lit(str(LATE_START)))
+    twice = F.struct(F.struct((F.col(amount) * 2).alias("booker_currency")).alias("estimate_commission_amount"))
+    return later.withColumns({"status": F.lit("amended"), "commission": twice})
 
 
 def early(rows: DataFrame) -> DataFrame:

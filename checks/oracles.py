@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from checks.fixtures import REGIONS, USD_RATES
-from staymart.functions.fixed_values import DEVICE, STATUS
-from staymart.schemas import CANONICAL
+from checks.literals import DEVICE, RATES, REGION, STATUS, TYPES, XTS_RATE
 
 
-def values(entries: dict[str, str], name: str) -> str:
-    rows = ", ".join(f"('{k}', '{v}')" for k, v in entries.items())
+def values(entries: list[tuple[str, str]], name: str) -> str:
+    rows = ", ".join(f"('{k}', '{v}')" for k, v in entries)
     return f"{name}(k, v) AS (VALUES {rows})"
 
 
@@ -33,10 +31,18 @@ RAW = """raw AS (
       WHEN 3 THEN 'jp' WHEN 4 THEN 'br' WHEN 5 THEN 'zz' END AS country_code
   FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
-FX = "fx(c, r) AS (VALUES {})".format(
-    ", ".join(f"('{c}', CAST({r!r} AS DOUBLE))" for c, r in USD_RATES.items())
-)
-ST, DV, RG = values(STATUS, "st"), values(DEVICE, "dv"), values(REGIONS, "rg")
+
+
+def rates(entries: list[tuple[str, str]]) -> str:
+    return "fx(c, r) AS (VALUES {})".format(", ".join(f"('{c}', CAST({r} AS DOUBLE))" for c, r in entries))
+
+
+FX = rates(RATES)
+ST, DV = values(STATUS, "st"), values(DEVICE, "dv")
+RG = values([(c, region) for region, codes in REGION.items() for c in codes.split()], "rg")
+CODES = " ".join([*REGION.values(), "ZZ"])
+DEALT = f"""dealt AS (SELECT *, list_extract(string_split('{CODES}', ' '),
+    CAST(CAST(transaction_id AS BIGINT) % {len(CODES.split())} + 1 AS INTEGER)) AS code FROM raw)"""
 
 USD = "CAST(CAST(revenue AS DOUBLE) * r AS DECIMAL(18,2)) AS revenue_usd"
 SITE = "upper(regexp_extract(conversion_key, 'k-([^_]+)', 1)) AS site_key"
@@ -51,10 +57,9 @@ CAN = f"""SELECT transaction_id, conversion_key, 'BC-' || accommodation AS prope
     LEFT JOIN rg ON upper(country_code) = rg.k LEFT JOIN fx ON currency = fx.c"""
 CANONICAL_SQL = f"WITH {RAW}, {ST}, {DV}, {RG}, {FX} {CAN}"
 
-BOOK = "book AS (SELECT transaction_id, status, check_in_date, revenue FROM raw)"
+BOOK = f"{ST}, {DV}, {RG}, {FX}, book AS ({CAN})"
 EARLY = "t AS (SELECT * FROM book WHERE check_in_date <= DATE '1998-12-31')"
-LATE = """s AS (SELECT transaction_id, 'X' AS status, check_in_date, revenue
-  FROM book WHERE check_in_date >= DATE '1998-01-01')"""
+LATE = "s AS (SELECT * REPLACE ('X' AS status) FROM book WHERE check_in_date >= DATE '1998-01-01')"
 PARTS = f"WITH {RAW}, {BOOK}, {EARLY}, {LATE}"
 MERGED = f"""{PARTS} SELECT * FROM s UNION ALL
   SELECT * FROM t WHERE transaction_id NOT IN (SELECT transaction_id FROM s)"""
@@ -83,7 +88,6 @@ FLAT_TYPES = {
     "travel_purpose": "string",
     "country_code": "string",
 }
-TYPES = {f.name: f.dataType.simpleString() for f in CANONICAL}
 
 
 def compare_sql() -> str:
@@ -91,7 +95,7 @@ def compare_sql() -> str:
         f"('{name}', '{kind}', "
         + (f"'{FLAT_TYPES[name]}'" if name in FLAT_TYPES else "NULL")
         + ")"
-        for name, kind in TYPES.items()
+        for name, kind in TYPES
     )
     return f"""WITH c(column_name, left_type, right_type) AS (VALUES {rows}),
         n AS (SELECT count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey)
@@ -122,28 +126,34 @@ ORACLES = {
       FROM raw LEFT JOIN st ON status = k""",
     "device_map": f"""WITH {RAW}, {DV} SELECT transaction_id, v AS device
       FROM raw LEFT JOIN dv ON {DEVICE_CODE} = k""",
-    "region_map": f"""WITH {RAW}, {RG} SELECT transaction_id, upper(country_code) AS country_code,
-      v AS region FROM raw LEFT JOIN rg ON upper(country_code) = k""",
+    "region_map": f"""WITH {RAW}, {RG}, {DEALT} SELECT transaction_id, code AS country_code,
+      v AS region FROM dealt LEFT JOIN rg ON code = k""",
+    "jsonl_mixed_amounts": f"WITH {RAW} SELECT transaction_id, revenue FROM raw",
+    "revenue_usd_strict": f"""WITH {RAW}, {rates([*RATES, XTS_RATE])} SELECT transaction_id,
+      currency, revenue, {USD} FROM raw LEFT JOIN fx ON currency = c""",
     "revenue_usd": f"""WITH {RAW}, {FX} SELECT transaction_id, currency, revenue, {USD}
       FROM raw LEFT JOIN fx ON currency = c""",
     "bookings_canonical": CANONICAL_SQL,
-    "booking_job": CANONICAL_SQL,
+    "booking_job": f"""WITH first_{RAW}, raw AS (SELECT * REPLACE (
+        CASE WHEN check_in_date >= DATE '1998-01-01' THEN 'amended' ELSE status END AS status,
+        CASE WHEN check_in_date >= DATE '1998-01-01' THEN CAST(amount * 2 AS DECIMAL(18,2))
+          ELSE revenue END AS revenue) FROM first_raw), {ST}, {DV}, {RG}, {FX} {CAN}""",
     "merge_upsert": MERGED,
     "merge_actions": f"""{PARTS} SELECT
       (SELECT count(*) FROM s WHERE transaction_id NOT IN (SELECT transaction_id FROM t)) AS inserted,
       (SELECT count(*) FROM t WHERE transaction_id IN (SELECT transaction_id FROM s)) AS updated,
       (SELECT count(*) FROM t WHERE transaction_id NOT IN (SELECT transaction_id FROM s)) AS kept""",
     "merge_repeated_keys": f"""WITH {RAW}, {BOOK},
-      k AS (SELECT CASE WHEN CAST(transaction_id AS BIGINT) % 3 > 0 THEN transaction_id END
-        AS transaction_id, status, check_in_date, revenue,
+      k AS (SELECT * REPLACE (CASE WHEN CAST(transaction_id AS BIGINT) % 3 > 0
+          THEN transaction_id END AS transaction_id),
         CASE WHEN CAST(transaction_id AS BIGINT) % 3 > 0
           THEN 1 + CAST(transaction_id AS BIGINT) % 2 ELSE 1 END AS copies FROM book),
       n AS (SELECT * FROM (VALUES (1), (2)) AS v(i)),
-      t AS (SELECT k.* FROM k, n WHERE check_in_date <= DATE '1998-12-31' AND i <= copies),
-      s AS (SELECT transaction_id, 'X' AS status, check_in_date, revenue FROM k, n
+      t AS (SELECT k.* EXCLUDE (copies) FROM k, n WHERE check_in_date <= DATE '1998-12-31' AND i <= copies),
+      s AS (SELECT k.* EXCLUDE (copies) REPLACE ('X' AS status) FROM k, n
         WHERE check_in_date >= DATE '1998-01-01'
           AND i <= CASE WHEN check_in_date > DATE '1998-12-31' THEN copies ELSE 1 END)
-      SELECT t.transaction_id, t.status, t.check_in_date, t.revenue FROM t
+      SELECT t.* FROM t
         WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.transaction_id = t.transaction_id)
       UNION ALL SELECT s.* FROM t JOIN s USING (transaction_id)
       UNION ALL SELECT s.* FROM s
@@ -151,7 +161,7 @@ ORACLES = {
     "published_earlier": f"{PARTS} SELECT * FROM t",
     "row_count": "SELECT count(*) AS row_count FROM orders JOIN customer ON o_custkey = c_custkey",
     "schema_listing": "SELECT * FROM (VALUES {}) AS l(ordinal, column_name, data_type)".format(
-        ", ".join(f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(TYPES.items(), start=1))
+        ", ".join(f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(TYPES, start=1))
     ),
     "dataset_compare": compare_sql(),
     "snapshot_history": f"WITH {LOG} SELECT * FROM log ORDER BY committed_at DESC",

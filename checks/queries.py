@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import fixtures as fx
+from staymart.functions.fixed_values import REGION
 from staymart.operators import canonical as can
 from staymart.operators import history, inspection, merge
 from staymart.plans import maintenance
@@ -74,6 +75,20 @@ def missing_rates(spark, sf_dir):
     return rate_source.missing_rates(fx.usd_rates(spark), flat(spark, sf_dir))
 
 
+@query
+def jsonl_mixed_amounts(spark, sf_dir):
+    """JSON lines in which every other amount is written as text."""
+    path = f"{scratch_folder(spark)}/raw"
+    records = fx.raw_records(spark, sf_dir)
+    amount = F.col("commission.estimate_commission_amount.booker_currency").cast("string")
+    as_text = F.struct(F.struct(amount.alias("booker_currency")).alias("estimate_commission_amount"))
+    odd = F.col("accommodations.reservation").cast("bigint") % 2 == 1
+    records.filter(~odd).write.json(f"{path}/numbers")
+    records.filter(odd).withColumn("commission", as_text).write.json(f"{path}/texts")
+    back = read_reservations(spark, [f"{path}/numbers", f"{path}/texts"])
+    return can.with_types(can.flatten(back)).select("transaction_id", "revenue")
+
+
 # --- fields ------------------------------------------------------------------
 
 
@@ -122,8 +137,10 @@ def device_map(spark, sf_dir):
 
 @query
 def region_map(spark, sf_dir):
-    upper = can.with_country(flat(spark, sf_dir))
-    return can.with_region(upper, fx.REGIONS).select("transaction_id", "country_code", "region")
+    """All listed countries and one that is not, dealt out over the reservations."""
+    code = F.get(F.array(*[F.lit(c.lower()) for c in fx.COUNTRIES]), F.col("transaction_id").cast("int") % len(fx.COUNTRIES))
+    upper = can.with_country(flat(spark, sf_dir).withColumn("country_code", code))
+    return can.with_region(upper).select("transaction_id", "country_code", "region")
 
 
 AMOUNTS = ["transaction_id", "currency", "revenue", "revenue_usd"]
@@ -142,6 +159,13 @@ def revenue_usd_udf(spark, sf_dir):
     return can.with_revenue_usd(typed, asked, strict=False).select(*AMOUNTS)
 
 
+@query
+def revenue_usd_strict(spark, sf_dir):
+    """Rates for every currency in use, so that the check of the rates passes."""
+    typed = can.with_types(flat(spark, sf_dir))
+    return can.with_revenue_usd(typed, fx.ALL_RATES).select(*AMOUNTS)
+
+
 @query
 def bookings_canonical(spark, sf_dir):
     return fx.canonical(spark, sf_dir)
@@ -152,13 +176,13 @@ def bookings_canonical(spark, sf_dir):
 
 @query
 def merge_upsert(spark, sf_dir):
-    rows = fx.bookings(spark, sf_dir)
+    rows = fx.canonical(spark, sf_dir)
     return merge.merge_upsert(fx.early(rows), fx.late(rows))
 
 
 @query
 def merge_rerun(spark, sf_dir):
-    rows = fx.bookings(spark, sf_dir)
+    rows = fx.canonical(spark, sf_dir)
     folder = scratch_folder(spark)
     once = merge.merge_upsert(fx.early(rows), fx.late(rows), folder=folder)
     return merge.merge_upsert(once, fx.late(rows), folder=folder)
@@ -166,7 +190,7 @@ def merge_rerun(spark, sf_dir):
 
 @query
 def merge_actions(spark, sf_dir):
-    rows = fx.bookings(spark, sf_dir)
+    rows = fx.canonical(spark, sf_dir)
     return merge.merge_actions(fx.early(rows), fx.late(rows))
 
 
@@ -174,7 +198,7 @@ def merge_actions(spark, sf_dir):
 def merge_repeated_keys(spark, sf_dir):
     """A third of the rows has no key; some target keys and some new keys are held
     by several rows."""
-    rows = fx.bookings(spark, sf_dir)
+    rows = fx.canonical(spark, sf_dir)
     number = F.col("transaction_id").cast("bigint")
     keyed = rows.withColumn("transaction_id", F.when(number % 3 > 0, F.col("transaction_id")))
 
@@ -190,7 +214,7 @@ def merge_repeated_keys(spark, sf_dir):
 
 @query
 def external_upsert(spark, sf_dir):
-    rows = fx.bookings(spark, sf_dir)
+    rows = fx.canonical(spark, sf_dir)
     return merge.keyed_upsert(fx.early(rows), fx.late(rows))
 
 
@@ -200,7 +224,7 @@ def external_upsert(spark, sf_dir):
 def published(spark: SparkSession, sf_dir: str) -> str:
     """A dataset made by two merges; returns its root."""
     root = f"{scratch_folder(spark)}/bookings"
-    rows = fx.bookings(spark, sf_dir)
+    rows = fx.canonical(spark, sf_dir)
     publish_merge(fx.early(rows), root)
     publish_merge(fx.late(rows), root)
     return root
@@ -208,15 +232,18 @@ def published(spark: SparkSession, sf_dir: str) -> str:
 
 @query
 def booking_job(spark, sf_dir):
-    """Two overlapping date windows of JSON lines, loaded one after the other."""
+    """Two overlapping date windows of JSON lines, loaded one after the other. What is in
+    both has changed in the second."""
     folder = scratch_folder(spark)
-    fx.raw_records(spark, sf_dir).write.json(f"{folder}/raw")
-    regions = [(json.dumps(fx.REGIONS, indent=2),)]
+    records = fx.raw_records(spark, sf_dir)
+    records.write.json(f"{folder}/raw/first")
+    fx.amended(records).write.json(f"{folder}/raw/second")
+    regions = [(json.dumps(REGION, indent=2),)]
     spark.createDataFrame(regions, "value string").coalesce(1).write.text(f"{folder}/regions")
-    for window in (("1995-01-01", "1998-12-31"), ("1998-01-01", "2001-12-31")):
+    for part, *window in (("first", "1995-01-01", "1998-12-31"), ("second", "1998-01-01", "2001-12-31")):
         run_booking(
             spark,
-            f"{folder}/raw",
+            f"{folder}/raw/{part}",
             f"{folder}/bookings",
             *window,
             region=read_lookup(spark, f"{folder}/regions"),
@@ -238,21 +265,17 @@ def published_earlier(spark, sf_dir):
 
 @query
 def row_count(spark, sf_dir):
-    return inspection.row_count(read_snapshot(spark, published(spark, sf_dir)))
+    return inspection.row_count(fx.canonical(spark, sf_dir))
 
 
 @query
 def schema_listing(spark, sf_dir):
-    root = f"{scratch_folder(spark)}/canonical"
-    publish_merge(fx.canonical(spark, sf_dir), root)
-    return inspection.schema_listing(read_snapshot(spark, root))
+    return inspection.schema_listing(fx.canonical(spark, sf_dir))
 
 
 @query
 def dataset_compare(spark, sf_dir):
-    root = f"{scratch_folder(spark)}/canonical"
-    publish_merge(fx.canonical(spark, sf_dir), root)
-    return inspection.compare_datasets(read_snapshot(spark, root), flat(spark, sf_dir))
+    return inspection.compare_datasets(fx.canonical(spark, sf_dir), flat(spark, sf_dir))
 
 
 # --- history and sync --------------------------------------------------------
@@ -307,7 +330,7 @@ def sync_run(spark, sf_dir):
         publish_merge(rows, store)
         return rows.count()
 
-    rows = fx.bookings(spark, sf_dir)
+    rows = fx.canonical(spark, sf_dir)
     runs = []
     for part in (fx.early(rows), None, fx.late(rows)):
         if part is not None:
@@ -341,7 +364,7 @@ def expire_snapshots(spark, sf_dir):
 def orphan_files(spark, sf_dir):
     """The rows in files that a broken-off write left behind."""
     root = f"{scratch_folder(spark)}/bookings"
-    rows = fx.bookings(spark, sf_dir)
+    rows = fx.canonical(spark, sf_dir)
     publish_merge(fx.early(rows), root)
     write_data(fx.late(rows), root)
     later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(days=4)

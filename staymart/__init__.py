@@ -4,5 +4,4 @@ functions   column expressions: labels, codes, casts, amounts
 sources     JSON lines, lookup files, rates, versioned Parquet data, JDBC
 operators   DataFrame -> DataFrame steps: canonical rows, merge, history, inspection
 plans       the three jobs: load reservations, sync to a relational store, maintain
-streaming   empty on purpose: every job here is a scheduled batch
 """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from staymart.functions import fixed_values as fixed
 from staymart.schemas import AMOUNT
@@ -30,13 +30,27 @@ def country_code(country: Column) -> Column:
     return F.upper(country)
 
 
+def checked(value: Column, kind: str | T.DataType, what: str) -> Column:
+    """``value`` as another type. A value that is not of that type fails the query,
+    whatever the session's ANSI setting; NULL stays NULL."""
+    told = F.concat(F.lit(f"not {what}: "), value.cast("string"))
+    found = value.try_cast(kind)
+    return F.when(value.isNotNull() & found.isNull(), F.raise_error(told).cast(kind)).otherwise(found)
+
+
 def as_date(text: Column, lenient: bool = False) -> Column:
     """Calendar date as written. Junk fails the query, or gives NULL if lenient."""
-    return text.try_cast("date") if lenient else F.to_date(text)
+    return text.try_cast("date") if lenient else checked(text, "date", "a date")
+
+
+def as_number(text: Column) -> Column:
+    """A number, or a number written as text. Other text fails the query."""
+    return checked(text, "double", "a number")
 
 
 def as_amount(number: Column) -> Column:
-    return number.cast(AMOUNT)
+    """decimal(18,2); what does not fit fails the query."""
+    return checked(number, AMOUNT, "an amount of 16 digits and cents")
 
 
 def converted(amount: Column, rate: Column) -> Column:
@@ -45,7 +59,7 @@ def converted(amount: Column, rate: Column) -> Column:
     The product of decimal and double is a double on purpose: a decimal product
     would round other half-cent ties.
     """
-    return (amount * rate).cast(AMOUNT)
+    return as_amount(amount * rate)
 
 
 def usable_currency(currency: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from staymart.functions import fields, fixed_values
 from staymart.operators.lookup_join import attach
@@ -29,14 +29,17 @@ RAW_PATHS = {
 TEXT_IDS = {"transaction_id", "property_id"}
 
 
+def raw_field(name: str) -> Column:
+    field = F.col(RAW_PATHS[name])
+    if name in TEXT_IDS:
+        return field.cast("string")
+    return fields.as_number(field) if name == "revenue" else field
+
+
 def flatten(records: DataFrame) -> DataFrame:
-    """The ten fields that are used, under their canonical names."""
-    return records.select(
-        *(
-            (F.col(path).cast("string") if name in TEXT_IDS else F.col(path)).alias(name)
-            for name, path in RAW_PATHS.items()
-        )
-    )
+    """The ten fields that are used, under their canonical names. An amount may be a
+    number or a number as text; other text fails the query."""
+    return records.select(*(raw_field(name).alias(name) for name in RAW_PATHS))
 
 
 def with_country(flat: DataFrame) -> DataFrame:
@@ -69,7 +72,7 @@ def with_device(flat: DataFrame, device: Lookup = fixed_values.DEVICE) -> DataFr
     return attach(flat, device, "device_code", "device")
 
 
-def with_region(flat: DataFrame, region: Lookup) -> DataFrame:
+def with_region(flat: DataFrame, region: Lookup = fixed_values.REGION) -> DataFrame:
     return attach(flat, region, "country_code", "region")
 
 
@@ -103,8 +106,8 @@ def with_revenue_usd(typed: DataFrame, rates: Rates, strict: bool = True) -> Dat
 
 def canonical_reservations(
     records: DataFrame,
-    region: Lookup,
     rates: Rates,
+    region: Lookup = fixed_values.REGION,
     status: Lookup = fixed_values.STATUS,
     device: Lookup = fixed_values.DEVICE,
     strict_rates: bool = True,
@@ -112,15 +115,16 @@ def canonical_reservations(
 ) -> DataFrame:
     """Canonical rows of raw records: one output row per record, no shuffle
     while the lookups are small enough to be broadcast."""
-    return (
-        flatten(records)
-        .transform(with_country)
-        .transform(with_label_parts)
-        .transform(with_property_prefix)
-        .transform(with_status, status)
-        .transform(with_device, device)
-        .transform(with_region, region)
-        .transform(with_types, lenient_dates)
-        .transform(with_revenue_usd, rates, strict_rates)
-        .select(*CANONICAL.fieldNames())
-    )
+    flat, label = flatten(records), F.col("conversion_key")
+    made = {
+        "property_id": fields.property_id(F.col("property_id")),
+        "check_in_date": fields.as_date(F.col("check_in_date"), lenient_dates),
+        "check_out_date": fields.as_date(F.col("check_out_date"), lenient_dates),
+        "revenue": fields.as_amount(F.col("revenue")),
+        "country_code": fields.country_code(F.col("country_code")),
+        "site_key": fields.site_key(label),
+        "device_code": fields.device_code(label),
+        "referral_property_id": fields.referral_property_id(label),
+    }
+    rows = with_region(with_device(with_status(flat.withColumns(made), status), device), region)
+    return with_revenue_usd(rows, rates, strict_rates).select(*CANONICAL.fieldNames())

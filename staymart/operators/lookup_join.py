@@ -52,7 +52,9 @@ def attach(
     that most rows share, as the side that is split is the preserved one.
     """
     if isinstance(lookup, Mapping):
-        side, small = lookup_from_dict(df.sparkSession, lookup, "__code", into), True
+        side = lookup_from_dict(df.sparkSession, lookup, "__code", into)
+        width = sum(len(str(k).encode()) + len(str(v).encode()) for k, v in lookup.items())
+        small = width + len(lookup) * ENTRY_OVERHEAD <= broadcast_bytes
     else:
         side = lookup.select(key, value)
         small = checked_size(side, key) <= broadcast_bytes

@@ -15,6 +15,7 @@ many rows, and that Catalyst broadcasts if the files of one side are small.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -126,18 +127,25 @@ def conform(source: DataFrame, target: DataFrame) -> DataFrame:
 def merge_actions(target: DataFrame, source: DataFrame, key: str = KEY) -> DataFrame:
     """One row: how many rows a merge inserts, updates and keeps.
 
-    Both sides are counted per key before they meet, so a key held by many rows
-    is a single row in the join.
+    The target is cut to the source's keys before it is counted per key; what is kept
+    is the rest of its row count. A key held by many rows is a single row in the join.
     """
-    before = target.groupBy(key).agg(F.count(F.lit(1)).alias("t_rows"))
-    after = source.groupBy(key).agg(F.count(F.lit(1)).alias("s_rows"))
-    both = before.join(after, key, "full")
-    t_rows, s_rows = F.col("t_rows"), F.col("s_rows")
-    return both.agg(
-        F.sum(F.when(t_rows.isNull(), s_rows).otherwise(0)).alias("inserted"),
-        F.sum(F.when(t_rows.isNotNull() & s_rows.isNotNull(), t_rows).otherwise(0)).alias("updated"),
-        F.sum(F.when(s_rows.isNull(), t_rows).otherwise(0)).alias("kept"),
-    )
+    n = F.count(F.lit(1))
+    after = keyed(source, key).groupBy(key).agg(n.alias("s_rows"))
+    hit = keyed(target, key).select(key).join(after.select(key), key, "left_semi")
+    both = hit.groupBy(key).agg(n.alias("t_rows")).join(after, key)
+    none = F.lit(0).cast("long")
+    parts = [
+        source.agg(n.alias("inserted"), none.alias("updated"), none.alias("kept")),
+        target.agg(none.alias("inserted"), none.alias("updated"), n.alias("kept")),
+        both.agg(
+            (-F.sum("s_rows")).alias("inserted"),
+            F.sum("t_rows").alias("updated"),
+            (-F.sum("t_rows")).alias("kept"),
+        ),
+    ]
+    total = reduce(DataFrame.unionByName, parts)
+    return total.agg(*(F.coalesce(F.sum(c), none).alias(c) for c in total.columns))
 
 
 def require_key(source: DataFrame, key: str) -> None:

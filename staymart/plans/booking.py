@@ -26,12 +26,12 @@ def run_booking(
     root: str,
     updated_from: str | dt.date,
     updated_to: str | dt.date,
-    region: Lookup,
     rates: Rates | Callable[[str], float],
+    region: Lookup = fixed_values.REGION,
     status: Lookup = fixed_values.STATUS,
     device: Lookup = fixed_values.DEVICE,
     strict_rates: bool = True,
-    day_folders: str | None = None,
+    lenient_dates: bool = False,
     clock: Clock = now,
 ) -> int:
     """Read the window, make canonical rows, merge them; returns the snapshot id.
@@ -41,12 +41,10 @@ def run_booking(
     """
     if not updated_from or not updated_to:
         raise ValueError("a booking load needs both dates of its window")
-    records = read_reservations(
-        spark, input_path, updated_from, updated_to, day_folders=day_folders
-    )
+    records = read_reservations(spark, input_path, updated_from, updated_to, lenient_dates)
     if callable(rates):
         rates = fetched_rates(flatten(records), rates)
     rows = canonical_reservations(
-        records, region, rates, status, device, strict_rates=strict_rates
+        records, rates, region, status, device, strict_rates, lenient_dates
     )
     return publish_merge(rows, root, KEY, clock)

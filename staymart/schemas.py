@@ -11,7 +11,8 @@ def struct(**fields: T.DataType) -> T.StructType:
 
 
 # Only the leaves that are read. The JSON source cannot prune below the top
-# level, so leaving the other leaves out of the schema is the pruning.
+# level, so leaving the other leaves out of the schema is the pruning. The amount
+# is text, as a number written as text would else be read as NULL.
 RAW_RECORD = struct(
     updated=TEXT,
     label=TEXT,
@@ -21,7 +22,7 @@ RAW_RECORD = struct(
     accommodations=struct(reservation=TEXT),
     accommodation_details=struct(accommodation=TEXT),
     currencies=struct(booker=TEXT),
-    commission=struct(estimate_commission_amount=struct(booker_currency=DOUBLE)),
+    commission=struct(estimate_commission_amount=struct(booker_currency=TEXT)),
     booker=struct(travel_purpose=TEXT, address=struct(country=TEXT)),
 )
 

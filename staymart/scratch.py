@@ -7,7 +7,6 @@ the file sizes from which it decides on a broadcast.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder path under the session's ``spark.checkpoint.dir``.
 
-    Without that setting a local session gets a temporary folder; a cluster
-    session is refused, since its executors share no local disk.
+    Without that setting it lies in the warehouse folder, which all executors share
+    as well. The folder is the caller's: what is read from it later needs it still,
+    so nothing removes it but ``staymart.sources.files.scratch``.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="staymart-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/staymart-{uuid.uuid4().hex}"
 
 

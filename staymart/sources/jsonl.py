@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from staymart.functions.fields import as_date
 from staymart.schemas import RAW_RECORD
@@ -18,7 +18,6 @@ def read_reservations(
     updated_from: Bound = None,
     updated_to: Bound = None,
     lenient_dates: bool = False,
-    day_folders: str | None = None,
 ) -> DataFrame:
     """Records whose ``updated`` date lies in the inclusive window.
 
@@ -26,23 +25,17 @@ def read_reservations(
     record has come back as NULL. A malformed line becomes an all-NULL record,
     which any window bound removes.
 
-    If the lines lie in folders by update date, such as ``day=2026-05-07``, name
-    that folder column in ``day_folders``: folders outside of the window are then
-    not opened. The date in the record still decides.
+    The date in the record alone decides. Names of folders decide nothing, as a late
+    record may lie anywhere; who knows better lists the folders in ``path``.
     """
-    if not day_folders:
-        records = spark.read.schema(RAW_RECORD).json(path)
-        return within_window(records, updated_from, updated_to, lenient_dates)
-    schema = T.StructType([*RAW_RECORD.fields, T.StructField(day_folders, T.DateType())])
-    records = spark.read.schema(schema).json(path)
-    if updated_from:
-        records = records.filter(F.col(day_folders) >= F.lit(updated_from).cast("date"))
-    if updated_to:
-        records = records.filter(F.col(day_folders) <= F.lit(updated_to).cast("date"))
-    records = records.drop(day_folders)
+    records = spark.read.schema(RAW_RECORD).json(path)
     return within_window(records, updated_from, updated_to, lenient_dates)
 
 
+def bound(day: str | dt.date) -> Column:
+    return as_date(F.lit(str(day)))
+
+
 def within_window(
     records: DataFrame,
     updated_from: Bound = None,
@@ -52,7 +45,7 @@ def within_window(
     """Inclusive on both ends; a missing or empty bound does not restrict."""
     updated = as_date(F.col("updated"), lenient_dates)
     if updated_from:
-        records = records.filter(updated >= F.lit(updated_from).cast("date"))
+        records = records.filter(updated >= bound(updated_from))
     if updated_to:
-        records = records.filter(updated <= F.lit(updated_to).cast("date"))
+        records = records.filter(updated <= bound(updated_to))
     return records

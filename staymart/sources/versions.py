@@ -12,7 +12,8 @@ row leaves files that no snapshot names; maintenance removes them later. There
 must be one writer per root at a time.
 
 A merge rewrites the files that hold a matched row and carries all others over by
-name, so its cost follows the rows it changes and not the size of the table.
+name. It saves work where keys are clustered in files, as with loads by date; keys
+scattered over all files rewrite all of them.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from staymart.operators.history import latest_snapshot
 from staymart.operators.inspection import empty_like
 from staymart.operators.merge import conform, find_matches, updated
 from staymart.schemas import COMMIT, EXPIRED, KEY, MANIFEST, TEXT, struct
-from staymart.sources.files import list_files, remove_folder
+from staymart.sources.files import discard, list_files
 from staymart.sources.tracking import written
 
 Clock = Callable[[], dt.datetime]
@@ -110,9 +111,14 @@ def create_dataset(df: DataFrame, root: str, clock: Clock = now) -> Row:
     return latest_commit(spark, root)
 
 
+def file_path() -> Column:
+    """Path of the data file a row is in, as the scan has it."""
+    return F.col("_metadata.file_path").alias("file")
+
+
 def file_name() -> Column:
-    """Name of the data file a row is in, relative to the root."""
-    return F.regexp_extract(F.col("_metadata.file_path"), f"({DATA_FILE})$", 1).alias("file")
+    """The part of ``file`` relative to the root; for distinct paths, not for rows."""
+    return F.regexp_extract(F.col("file"), f"({DATA_FILE})$", 1).alias("file")
 
 
 def write_data(rows: DataFrame, root: str) -> DataFrame:
@@ -125,7 +131,8 @@ def write_data(rows: DataFrame, root: str) -> DataFrame:
     rows.write.parquet(folder)
     back = rows.sparkSession.read.schema(rows.schema).parquet(folder)
     size = F.col("_metadata.file_size").alias("bytes")
-    return back.groupBy(file_name(), size).agg(F.count(F.lit(1)).alias("rows"))
+    counts = back.groupBy(file_path(), size).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.select(file_name(), "bytes", "rows")
 
 
 def commit(
@@ -180,14 +187,15 @@ def publish_merge(source: DataFrame, root: str, key: str = KEY, clock: Clock = n
 
     staging = staging_folder(spark, root)
     try:
-        target_keys = target.select(key, file_name()).filter(F.col(key).isNotNull())
+        target_keys = target.select(key, file_path()).filter(F.col(key).isNotNull())
         found = find_matches(target_keys, rows, key, staging)
-        touched = file_names(found.pairs.select("file").distinct())
+        touched = file_names(found.pairs.select("file").distinct().select(file_name()))
         rewritten = updated(read_files(spark, root, touched), found.updates, key)
-        new_files = write_data(rewritten.unionByName(found.inserts), root)
+        rows = rewritten.unionByName(found.inserts).hint("rebalance")
+        new_files = write_data(rows, root)
         replaced = local_frame(spark, [(name,) for name in touched], struct(file=TEXT))
         files = old_files.join(replaced, "file", "left_anti").unionByName(new_files)
         operation = "overwrite" if touched else "append"
         return commit(spark, root, base, operation, files, clock)
     finally:
-        remove_folder(staging)
+        discard(staging)

@@ -39,7 +39,7 @@ def test_columns_types_and_a_whole_row(spark):
         [record(label="k-foo_d-m_p-77", status="S", property="9", currency="EUR", amount=10.0, country="gb")],
         RAW_RECORD,
     )
-    out = can.canonical_reservations(raw, {"GB": "Europe"}, RATES)
+    out = can.canonical_reservations(raw, RATES, {"GB": "Europe"})
     assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in CANONICAL]
     assert out.first().asDict() == {
         "transaction_id": "1",
@@ -115,7 +115,7 @@ def test_conversion_multiplies_as_double(spark):
 
 
 def test_amount_overflow_fails(spark):
-    with pytest.raises(PySparkException, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+    with pytest.raises(PySparkException, match="not an amount"):
         rows_of(spark, record(amount=1e17))
 
 
@@ -141,7 +141,7 @@ def test_unknown_currency_fails_or_is_null(spark, currency):
 
 @pytest.mark.parametrize("junk", ["", "soon"])
 def test_junk_dates(spark, junk):
-    with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):
+    with pytest.raises(PySparkException, match="not a date"):
         rows_of(spark, record(start=junk))
     row = rows_of(spark, record(start=junk), lenient_dates=True)[0]
     assert row["check_in_date"] is None and row["check_out_date"] == dt.date(2026, 6, 4)
@@ -164,7 +164,7 @@ def test_plan_has_no_shuffle_and_reads_only_needed_leaves(spark, tmp_path):
     path = str(tmp_path / "raw")
     spark.createDataFrame([record(status="S")], RAW_RECORD).write.json(path)
     raw = spark.read.schema(RAW_RECORD).json(path)
-    plan = can.canonical_reservations(raw, {"GB": "Europe"}, RATES)._jdf.queryExecution().toString()
+    plan = can.canonical_reservations(raw, RATES, {"GB": "Europe"})._jdf.queryExecution().toString()
     assert plan.count("BroadcastHashJoin") >= 4
     assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
 
@@ -177,4 +177,4 @@ def test_region_lookup_as_table(spark):
 def test_lazy_strictness_ignores_rows_filtered_out(spark):
     raw = spark.createDataFrame([record(id="1", currency="XTS", amount=1.0), record(id="2", currency="USD", amount=1.0)], RAW_RECORD)
     kept = raw.filter(F.col("accommodations.reservation") == "2")
-    assert can.canonical_reservations(kept, {}, RATES).count() == 1
+    assert can.canonical_reservations(kept, RATES, {}).count() == 1

@@ -1,7 +1,12 @@
+import os
+
 import pytest
 
 from staymart.operators import inspection as look
+from staymart.operators.merge import merge_upsert
 from staymart.scratch import scratch_folder
+from staymart.sources.files import scratch
+from staymart.sources.rates import fetched_rates
 
 
 @pytest.fixture
@@ -43,16 +48,20 @@ def test_scratch_folders_are_new_and_shared(spark):
     assert one != two and one.startswith(base)
 
 
-class Cluster:
-    class conf:
-        get = staticmethod(lambda name, default=None: default)
+def test_scratch_without_the_setting_lies_in_the_warehouse():
+    class Session:
+        class conf:
+            get = staticmethod(lambda name, default=None: "/shared/wh/" if "warehouse" in name else default)
 
-    class sparkContext:
-        master = "yarn"
+    assert scratch_folder(Session()).startswith("/shared/wh/scratch/")
 
 
-def test_cluster_without_shared_folder_is_refused():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_folder(Cluster())
-    Cluster.sparkContext.master = "local[2]"
-    assert scratch_folder(Cluster()).startswith("/")
+def test_no_folder_is_left_after_a_merge_or_after_asking_for_rates(spark):
+    base = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    rows = spark.createDataFrame([("a", "EUR"), ("b", "USD")], "transaction_id string, currency string")
+    with scratch(spark) as folder:
+        assert merge_upsert(rows, rows, folder=folder).count() == 2
+        assert fetched_rates(rows, {"EUR": 2.0}.get, folder=folder).count() == 2
+        assert set(os.listdir(base)) != before
+    assert set(os.listdir(base)) == before

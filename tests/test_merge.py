@@ -58,9 +58,9 @@ def test_actions_add_up(spark, case):
     keys = {t[0] for t in target if t[0] is not None}
     changed = {s[0] for s in source if s[0] is not None}
     row = merge_actions(frame(spark, *target), frame(spark, *source)).first()
-    assert (row["inserted"] or 0) == sum(s[0] not in keys for s in source)
-    assert (row["updated"] or 0) == sum(t[0] in changed for t in target)
-    assert (row["kept"] or 0) == sum(t[0] not in changed for t in target)
+    assert row["inserted"] == sum(s[0] not in keys for s in source)
+    assert row["updated"] == sum(t[0] in changed for t in target)
+    assert row["kept"] == sum(t[0] not in changed for t in target)
 
 
 def test_two_source_rows_for_one_target_row(spark):

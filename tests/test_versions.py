@@ -10,6 +10,7 @@ from staymart.operators.merge import AmbiguousMerge
 from staymart.operators.history import snapshot_history
 from staymart.plans import maintenance as keep
 from staymart.sources import versions as vs
+from staymart.sources import files as stored_files
 from staymart.sources.files import remove_folder
 
 DDL = "transaction_id string, v int"
@@ -276,6 +277,36 @@ def test_root_without_scheme(spark, root):
         remove_folder("/some/folder")
 
 
+def test_a_denied_removal_does_not_fail_a_load_that_is_committed(spark, root, monkeypatch):
+    vs.publish_merge(frame(spark, ("a", 1)), root)
+
+    def denied(uri):
+        raise PermissionError(uri)
+
+    monkeypatch.setattr(stored_files, "remove_folder", denied)
+    with pytest.warns(UserWarning, match="intermediate tables are left"):
+        assert vs.publish_merge(frame(spark, ("a", 2), (None, 3)), root) == 2
+    assert bag(vs.read_snapshot(spark, root)) == Counter([("a", 2), (None, 3)])
+    assert vs.commits(spark, root).count() == 3
+    with pytest.warns(UserWarning), pytest.raises(AmbiguousMerge):  # the first error is the one told
+        vs.publish_merge(frame(spark, ("a", 4), ("a", 5)), root)
+
+
+def test_removals_are_spread_over_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stored_files, "REMOVED_PER_TASK", 10)
+    for i in range(35):
+        (tmp_path / f"f{i}").write_text("x")
+    paths = spark.createDataFrame([(f"file:{tmp_path}/f{i}",) for i in range(40)], "path string").coalesce(1)
+    assert stored_files.remove_files(paths, f"file:{tmp_path}/lists") == 35
+    assert not list(tmp_path.iterdir())
+
+
+def test_paths_in_stores():
+    assert stored_files.path_in("file:/a/b") == stored_files.path_in("file:///a/b") == "/a/b"
+    assert stored_files.path_in("s3a://bucket/a/b") == "bucket/a/b"
+    assert stored_files.path_in("hdfs://host:8020/a/b") == "/a/b"
+
+
 def test_all_maintenance(spark, root):
     clock = Days()
     for i in range(6):

@@ -34,7 +34,7 @@ COMMON = 10_000
 #: Ids of candidate lines are broadcast up to this number (16 MB), and joined beyond it.
 MOST_BROADCAST = 1_000_000
 #: A key under which more lines are indexed is crowded: its pairs go by letter parities.
-CROWD = 32
+CROWD = 16
 BLANKS = " \t\x0b\x0c\r"
 
 
@@ -246,11 +246,11 @@ def near_lines(lines: DataFrame, classes: DataFrame, total: int, folder: str) ->
     found among its probes.
     """
     probes = segment_keys(lines, classes, total, folder)
-    listed = probes.select(F.col("p").alias("h1")).union(probes.select(F.explode("some")))
+    crowded = F.size("some") > CROWD
+    listed = probes.select(F.col("p").alias("h1")).union(probes.where(~crowded).select(F.explode("some")))
     ids = stage(listed.distinct(), folder, "ids")
     texts = stage_text(texts_and_marks(lines, ids), folder, "texts")
     marks = texts.select("h", "mark")
-    crowded = F.size("some") > CROWD
     thin = ordered(probes.where(~crowded).select("p", F.explode("some").alias("q")).where("p <> q"))
     one, two = marks.toDF("a", "x"), marks.toDF("b", "y")
     thin = thin.join(one, "a").join(two, "b").where(alike("x", "y")).select("a", "b")

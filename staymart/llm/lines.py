@@ -191,8 +191,10 @@ def segment_keys(lines: DataFrame, classes: DataFrame, total: int, folder: str)
     every = rare.union(once.select("h1", "line")).withColumn("length", F.char_length("line"))
 
     def keyed(keys: Column, name: str) -> DataFrame:
-        rows = every.select(F.explode(keys).alias("key"), F.col("h1").alias(name))
-        return rows.repartition("key").dropDuplicates(["key", name])
+        # A column first, so that what keys have in common is computed once per line. Outer,
+        # as Spark would else add a filter that the array, never empty, is not empty.
+        rows = every.select(keys.alias("keys"), F.col("h1").alias(name))
+        return rows.select(F.explode_outer("keys").alias("key"), name).repartition("key").dropDuplicates(["key", name])
 
     place = F.row_number().over(Window.partitionBy("key").orderBy("q"))
     first = keyed(index_keys(F.col("length")), "q").withColumn("place", place).where(F.col("place") <= CROWD + 1)

@@ -22,13 +22,15 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from staymart.llm.common import stage_text
+from staymart.llm.common import WORD, stage_text
 from staymart.llm.components import connected_components
 from staymart.scratch import scratch_folder, stage
 
 EDITS = 2
 #: Shorter lines, in characters without white space at the ends, are left alone.
 LEAST_CHARS = 20
+#: What is left of a document that lost lines has so many words at least.
+LEAST_WORDS = 10
 #: Lines that make up more than this part of all lines are at most so many.
 COMMON = 10_000
 #: Ids of candidate lines are broadcast up to this number (16 MB), and joined beyond it.
@@ -324,8 +326,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated lines taken out of ``text``, other columns as they are, but for
     ``n_chars``, if there is one, which is the new length where the text has changed.
 
-    A document that has no word left after it lost lines is left out; it was made of
-    repeats. Other documents, also empty ones, stay.
+    A document that has fewer than ``LEAST_WORDS`` words left after it lost lines is left
+    out; it was made of repeats. Other documents, also short and empty ones, stay.
     """
     names = {c: f"__{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
     plain = docs.select("doc_id", "text", *[F.col(c).alias(n) for c, n in names.items()])
@@ -337,7 +339,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     parts = F.zip_with(starts, ends, lambda a, b: F.slice("__lines", a, b - a + 1))
     left = F.when(F.col("cuts").isNull(), F.col("text")).otherwise(F.concat_ws("\n", F.flatten(parts)))
     rows = rows.withColumn("text", left)
-    rows = rows.where(F.col("cuts").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    n_words = F.regexp_count("text", F.lit(WORD))
+    rows = rows.where(F.when(F.col("cuts").isNull(), F.lit(True)).otherwise(n_words >= LEAST_WORDS))
     if "n_chars" in names:
         old = F.col(names["n_chars"])
         new = F.char_length("text").cast(docs.schema["n_chars"].dataType)

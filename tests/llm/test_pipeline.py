@@ -1,0 +1,77 @@
+"""The pipeline on a small folder of tables, stage by stage against plain versions."""
+
+import numpy as np
+import pytest
+
+import __spark_entry__
+import corpus_pipeline
+from staymart.llm import quality_rules, simhash, statistics
+from staymart.llm.common import table
+from staymart.scratch import scratch_folder, stage
+from tests.llm.test_lines import brute
+from tests.llm.test_simhash import groups, slow_fingerprint
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """A quarter of a small table, whole texts, with copies and odd rows added."""
+    path = tmp_path_factory.mktemp("tables")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("doc_id < 60")
+    copies = docs.where("doc_id < 8").selectExpr("doc_id + 1000 AS doc_id", "text", "lang", "source", "n_chars")
+    odd = spark.sql("SELECT CAST(NULL AS BIGINT) AS doc_id, CAST(NULL AS STRING) AS text, 'en' AS lang, CAST(NULL AS STRING) AS source, 0L AS n_chars")
+    docs.select(COLUMNS).union(copies).union(odd).coalesce(2).write.parquet(f"{path}/documents.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/labels.parquet").write.parquet(f"{path}/labels.parquet")
+    return str(path)
+
+
+def test_stages_against_plain_versions(spark, folder):
+    kept, docs = {}, table(spark, folder, "documents")
+    for name, step in corpus_pipeline.STAGES:
+        before, model = docs.collect(), None
+        if name == "quality_rules":
+            model = quality_rules.rules_for(docs, folder)
+        docs = stage(step(spark, docs, folder), scratch_folder(spark), name)
+        kept[name] = after = docs.collect()
+        if name != "packing":
+            assert docs.columns == COLUMNS
+        ids = sorted(r.doc_id for r in after)
+        if name == "quality_rules":
+            rows = [statistics.statistics(r.text) for r in before]
+            scores = model.score(np.array([r[5:] for r in rows]))
+            good = [r.doc_id for r, s, p in zip(before, rows, scores) if s[0] >= 10 and 100 * s[4] <= 20 * s[0] and p >= 0.5]
+            assert ids == sorted(good)
+        elif name == "line_dedup":
+            drop = {}
+            for n, pos in brute([(r.doc_id, r.text) for r in before]):
+                drop.setdefault(n, set()).add(pos)
+            wanted = {}
+            for n, r in enumerate(before):
+                text = "\n".join(x for p, x in enumerate(r.text.split("\n")) if p not in drop.get(n, ()))
+                if len(text.encode().split()) >= 10 or n not in drop:
+                    wanted[r.doc_id] = text
+            assert {r.doc_id: r.text for r in after} == wanted
+        elif name == "simhash_near_dedup":
+            fps = {r.doc_id: slow_fingerprint(r.text) for r in before}
+            links = [(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 2]
+            root = groups(fps, links)
+            assert ids == sorted(i for i in fps if root[i] == i)
+        elif name == "source_mixture":
+            assert {r.doc_id for r in after} <= {r.doc_id for r in before}
+            assert max(ids.count(i) for i in ids) <= 3
+        else:
+            per = {}
+            for r in after:
+                assert r.length & (r.length - 1) == 0 and len(r.ids) == 4 * r.length
+                per[r.doc_id] = per.get(r.doc_id, 0) + r.length
+            for r in before:
+                assert per[r.doc_id] % {p.doc_tokens for p in after if p.doc_id == r.doc_id}.pop() == 0
+    copies = {r.doc_id for r in kept["quality_rules"] if r.doc_id >= 1000}
+    assert copies and not copies & {r.doc_id for r in kept["line_dedup"]}
+
+
+def test_registered_under_their_names():
+    names = set(__spark_entry__.queries())
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{k}" for k in range(1, 11)}
+    assert "op5_mixing" in __spark_entry__.oracle_sql()

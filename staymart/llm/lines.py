@@ -30,7 +30,7 @@ EDITS = 2
 #: Shorter lines, in characters without white space at the ends, are left alone.
 LEAST_CHARS = 20
 #: What is left of a document that lost lines has so many words at least.
-LEAST_WORDS = 10
+LEAST_WORDS = 1
 #: Lines that make up more than this part of all lines are at most so many.
 COMMON = 10_000
 #: Ids of candidate lines are broadcast up to this number (16 MB), and joined beyond it.
@@ -40,11 +40,15 @@ CROWD = 16
 BLANKS = " \t\x0b\x0c\r"
 
 
+def trimmed(raw: Column) -> Column:
+    plain = F.trim(raw)  # the other blanks, rare at the ends of lines, take longer to look for
+    ends = [f(plain, F.lit(c)) for c in BLANKS[1:] for f in (F.startswith, F.endswith)]
+    return F.when(reduce(or_, ends), F.btrim(raw, F.lit(BLANKS))).otherwise(plain)
+
+
 def numbered_lines(held: DataFrame) -> DataFrame:
     """``row, doc_id, pos, line`` for lines of ``LEAST_CHARS`` or more."""
-    plain = F.trim("raw")  # the other blanks, rare at the ends of lines, take longer to look for
-    ends = [f(plain, F.lit(c)) for c in BLANKS[1:] for f in (F.startswith, F.endswith)]
-    line = F.when(reduce(or_, ends), F.btrim(F.col("raw"), F.lit(BLANKS))).otherwise(plain)
+    line = trimmed(F.col("raw"))
     rows = held.select("row", "doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "raw"))
     rows = rows.select("row", "doc_id", "pos", line.alias("line"))
     return rows.where(F.char_length("line") >= LEAST_CHARS).select(
@@ -271,6 +275,7 @@ class Found:
 
     held: DataFrame
     dropped: DataFrame
+    folder: str
 
 
 def repeated_lines(docs: DataFrame) -> Found:
@@ -278,7 +283,7 @@ def repeated_lines(docs: DataFrame) -> Found:
 
     First is the smallest ``doc_id`` (null last), then the smallest row of ``docs`` as it is
     stored here, then the smallest line number. ``dropped`` has ``row, pos`` of the
-    occurrence and ``first_doc_id, first_pos`` of what stays in its place.
+    occurrence and ``first_row, first_doc_id, first_pos`` of what stays in its place.
     """
     folder = scratch_folder(docs.sparkSession)
     held = stage_text(docs.withColumn("row", F.monotonically_increasing_id()), folder, "held")
@@ -295,9 +300,13 @@ def repeated_lines(docs: DataFrame) -> Found:
     stays = near.union(alone.select("h1", "h2", F.col("first").alias("stays")))
     again = lines.drop("line").join(stays, ["h1", "h2"])
     dropped = again.where((F.col("row") != F.col("stays.row")) | (F.col("pos") != F.col("stays.pos"))).select(
-        "row", "pos", F.col("stays.doc_id").alias("first_doc_id"), F.col("stays.pos").alias("first_pos")
+        "row",
+        "pos",
+        F.col("stays.row").alias("first_row"),
+        F.col("stays.doc_id").alias("first_doc_id"),
+        F.col("stays.pos").alias("first_pos"),
     )
-    return Found(held, dropped)
+    return Found(held, dropped, folder)
 
 
 def line_report(docs: DataFrame) -> DataFrame:
@@ -322,17 +331,38 @@ def line_report(docs: DataFrame) -> DataFrame:
     )
 
 
+def copied_rows(found: Found, dropped: DataFrame) -> DataFrame:
+    """``row`` of documents whose long lines were all dropped, and whose short lines all stand
+    in a document that one of the dropped lines stays in and that has as many lines.
+
+    Lines without a word are not looked at.
+    """
+    lines = F.filter(F.transform(F.split("text", "\n"), trimmed), lambda x: x != "")
+    shape = found.held.select("row", lines.alias("lines"))
+    short = F.filter("lines", lambda x: F.char_length(x) < LEAST_CHARS)
+    shape = shape.select("row", F.size("lines").alias("n"), F.array_distinct(short).alias("short"), F.size(short).alias("n_short"))
+    shape = stage(shape.where(F.col("n") > 0), found.folder, "shape")
+    lost = dropped.groupBy("row").agg(F.count("*").alias("n_dropped"), F.collect_set("first_row").alias("sources"))
+    left = lost.join(shape, "row").where((F.col("n_short") > 0) & (F.col("n_dropped") + F.col("n_short") == F.col("n")))
+    left = left.select("row", "n", "short", F.explode("sources").alias("source")).where("source <> row")
+    held = shape.select(F.col("row").alias("source"), F.col("n").alias("n_held"), F.col("short").alias("short_held"))
+    pairs = left.join(held, "source").where(F.col("n") == F.col("n_held"))
+    return pairs.where(F.size(F.array_except("short", "short_held")) == 0).select("row").distinct()
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated lines taken out of ``text``, other columns as they are, but for
     ``n_chars``, if there is one, which is the new length where the text has changed.
 
-    A document that has fewer than ``LEAST_WORDS`` words left after it lost lines is left
-    out; it was made of repeats. Other documents, also short and empty ones, stay.
+    A document that lost lines is left out if fewer than ``LEAST_WORDS`` words are left, so
+    none, or if it is a copy with only short lines left (``copied_rows``). Other documents
+    stay with what is left, also short and empty ones that lost nothing.
     """
     names = {c: f"__{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
     plain = docs.select("doc_id", "text", *[F.col(c).alias(n) for c, n in names.items()])
     found = repeated_lines(plain)
-    per = found.dropped.groupBy("row").agg(F.array_sort(F.collect_list("pos")).alias("cuts"))
+    dropped = stage(found.dropped.select("row", "pos", "first_row"), found.folder, "dropped")
+    per = dropped.groupBy("row").agg(F.array_sort(F.collect_list("pos")).alias("cuts"))
     rows = found.held.join(per, "row", "left").withColumn("__lines", F.split("text", "\n"))
     starts = F.concat(F.array(F.lit(1)), F.transform("cuts", lambda x: x + 2))
     ends = F.concat("cuts", F.array(F.size("__lines")))
@@ -341,6 +371,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("text", left)
     n_words = F.regexp_count("text", F.lit(WORD))
     rows = rows.where(F.when(F.col("cuts").isNull(), F.lit(True)).otherwise(n_words >= LEAST_WORDS))
+    rows = rows.join(stage(copied_rows(found, dropped), found.folder, "copies"), "row", "left_anti")
     if "n_chars" in names:
         old = F.col(names["n_chars"])
         new = F.char_length("text").cast(docs.schema["n_chars"].dataType)

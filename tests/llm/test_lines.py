@@ -127,3 +127,30 @@ def test_main_path_has_no_python(spark, texts):
     frame = spark.createDataFrame(texts, "doc_id long, text string")
     plan = lines.line_report(frame)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_what_is_left_of_a_document_stays(make_docs):
+    header = "Licensed under the terms that stand in the file"
+    docs = make_docs([
+        (1, header + "\nthe first document's own line of text", "en", "s"),
+        (2, header + "\nA unique sentence of seven words only", "en", "s"),
+        (3, header + "\nonly here", "en", "s"),
+        (4, header + "\n  \t\r\n", "en", "s"),
+    ])
+    got = {r.doc_id: r.text for r in lines.without_repeats(docs).collect()}
+    assert got.keys() == {1, 2, 3}
+    assert got[2] == "A unique sentence of seven words only" and got[3] == "only here"
+
+
+def test_copies_leave_no_short_lines(make_docs):
+    header, body = "Licensed under the terms that stand in the file", "a body of text that only this one has"
+    short = "\n".join(f"line {i} a b c" for i in range(5))  # 25 words
+    docs = make_docs([
+        (1, header, "en", "s"),
+        (2, f"{header}\n{short}\n{body}", "en", "s"),
+        (3, f"{header}\n{short}\n{body}", "en", "s"),
+        (4, f"{header}\n{short}\n{body}!", "en", "s"),  # a near copy
+        (5, f"{header}\n{short}\nother words\n{body}", "en", "s"),
+    ])
+    got = {r.doc_id: r.text for r in lines.without_repeats(docs).collect()}
+    assert got == {1: header, 2: f"{short}\n{body}", 5: f"{short}\nother words"}

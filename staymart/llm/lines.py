@@ -27,7 +27,8 @@ from staymart.llm.components import connected_components
 from staymart.scratch import scratch_folder, stage
 
 EDITS = 2
-#: Shorter lines, in characters without white space at the ends, are left alone.
+#: Shorter lines, in characters without white space at the ends, are only held exactly equal
+#: and never dropped by themselves.
 LEAST_CHARS = 20
 #: What is left of a document that lost lines has so many words at least.
 LEAST_WORDS = 1
@@ -46,12 +47,14 @@ def trimmed(raw: Column) -> Column:
     return F.when(reduce(or_, ends), F.btrim(raw, F.lit(BLANKS))).otherwise(plain)
 
 
-def numbered_lines(held: DataFrame) -> DataFrame:
-    """``row, doc_id, pos, line`` for lines of ``LEAST_CHARS`` or more."""
+def numbered_lines(held: DataFrame, short: bool = False) -> DataFrame:
+    """``row, doc_id, pos, line`` for lines of ``LEAST_CHARS`` or more, or for shorter ones
+    that have a word."""
     line = trimmed(F.col("raw"))
     rows = held.select("row", "doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "raw"))
     rows = rows.select("row", "doc_id", "pos", line.alias("line"))
-    return rows.where(F.char_length("line") >= LEAST_CHARS).select(
+    size = F.char_length("line")
+    return rows.where((size > 0) & (size < LEAST_CHARS) if short else size >= LEAST_CHARS).select(
         "*", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")
     )
 
@@ -288,8 +291,7 @@ def repeated_lines(docs: DataFrame) -> Found:
     folder = scratch_folder(docs.sparkSession)
     held = stage_text(docs.withColumn("row", F.monotonically_increasing_id()), folder, "held")
     lines = numbered_lines(held)
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "pos")
-    classes = stage(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")), folder, "classes")
+    classes = stage(lines.groupBy("h1", "h2").agg(F.min(place_of()).alias("first"), F.count("*").alias("n")), folder, "classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
     groups = connected_components(near_lines(lines, classes, total, folder), folder)
     linked = classes.join(groups, classes.h1 == groups.node).select("h1", "h2", "component", "first")
@@ -309,25 +311,45 @@ def repeated_lines(docs: DataFrame) -> Found:
     return Found(held, dropped, folder)
 
 
+def place_of() -> Column:
+    """What the first occurrence of a line is smallest in."""
+    return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "pos")
+
+
+def short_repeats(found: Found) -> DataFrame:
+    """``row, pos, first_doc_id, first_pos`` of exact repeats of lines under ``LEAST_CHARS``."""
+    lines = numbered_lines(found.held, short=True).drop("h1", "h2")
+    again = lines.groupBy("line").agg(F.min(place_of()).alias("first"), F.count("*").alias("n"))
+    first = stage(again.where("n > 1").drop("n"), found.folder, "short")
+    rows = lines.join(first, "line").where((F.col("row") != F.col("first.row")) | (F.col("pos") != F.col("first.pos")))
+    return rows.select("row", "pos", F.col("first.doc_id").alias("first_doc_id"), F.col("first.pos").alias("first_pos"))
+
+
+def per_row(places: DataFrame, name: str) -> DataFrame:
+    place = F.struct(F.col("pos").alias("line"), "first_doc_id", F.col("first_pos").alias("first_line"))
+    return places.groupBy("row").agg(F.array_sort(F.collect_list(place)).alias(name))
+
+
 def line_report(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_lines, n_dropped, dropped`` per row of ``docs``.
+    """``doc_id, n_lines, n_dropped, dropped, n_short, short`` per row of ``docs``.
 
     ``dropped`` lists the lines (from 0) that repeat a line elsewhere, by number, each with
     the place of the line that stays. A null text counts as an empty one and has one blank
-    line. Short and blank lines are never dropped. An empty table gives no rows.
+    line. Short and blank lines are never dropped; ``short`` lists those with a word that
+    repeat a line elsewhere exactly. An empty table gives no rows.
     """
     found = repeated_lines(docs.select("doc_id", "text"))
-    per = found.dropped.groupBy("row").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("pos").alias("line"), "first_doc_id", F.col("first_pos").alias("first_line")))).alias("dropped")
-    )
     n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long")
-    rows = found.held.select("row", "doc_id", n_lines.alias("n_lines")).join(per, "row", "left")
+    rows = found.held.select("row", "doc_id", n_lines.alias("n_lines"))
+    rows = rows.join(per_row(found.dropped, "dropped"), "row", "left").join(per_row(short_repeats(found), "short"), "row", "left")
     none = F.array().cast("array<struct<line:int,first_doc_id:bigint,first_line:int>>")
     return rows.select(
         "doc_id",
         "n_lines",
         F.coalesce(F.size("dropped").cast("long"), F.lit(0)).alias("n_dropped"),
         F.coalesce("dropped", none).alias("dropped"),
+        F.coalesce(F.size("short").cast("long"), F.lit(0)).alias("n_short"),
+        F.coalesce("short", none).alias("short"),
     )
 
 

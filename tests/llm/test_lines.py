@@ -154,3 +154,13 @@ def test_copies_leave_no_short_lines(make_docs):
     ])
     got = {r.doc_id: r.text for r in lines.without_repeats(docs).collect()}
     assert got == {1: header, 2: f"{short}\n{body}", 5: f"{short}\nother words"}
+
+
+def test_short_repeats_are_reported(make_docs):
+    docs = make_docs([(7, " usage \n\nusage\n \t", "en", "s"), (3, "one of a kind\nusage\r", "en", "s"), (None, None, "en", "s")])
+    got = {r.doc_id: r for r in lines.line_report(docs).collect()}
+    assert {i: (r.n_dropped, r.n_short, [tuple(x) for x in r.short]) for i, r in got.items()} == {
+        7: (0, 2, [(0, 3, 1), (2, 3, 1)]),
+        3: (0, 0, []),
+        None: (0, 0, []),
+    }

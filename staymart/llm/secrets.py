@@ -29,8 +29,14 @@ LEAST_ASSIGN, LEAST_ACCESS = 12, 18
 
 KINDS = ["assign", "access", "hex", "literal"]
 
-OPERATOR = re.compile(r":=|=>|[:=]")
-NAME_BEFORE = re.compile(r"""(?<![A-Za-z0-9_.\-])([A-Za-z_][A-Za-z0-9_.\-]{0,63})["']?[ \t]*\Z""", re.ASCII)
+#: A declared type, and ``=`` before a value; without quotes around the value it has no digits.
+TYPED = r"""[&*]?[A-Za-z_][A-Za-z_.%s]*+(?:[\[<][^\[<:=\n"'`]*[\]>]*+)*(?:[ \t]*+\|[ \t]*+[A-Za-z_][A-Za-z0-9_.]*+)*\??"""
+#: A name, read forward once, and the operator after it; a colon, a type and ``=`` are one.
+ASSIGNED = re.compile(
+    r"""(?<![A-Za-z0-9_.\-])([A-Za-z_][A-Za-z0-9_.\-]*+)["']?+[ \t]*+(?P<op>:=|=>"""
+    rf"""|\??:[ \t]*+(?:{TYPED % "0-9"}[ \t]*+=[ \t]*+(?=["'`])|{TYPED % ""}[ \t]++=[ \t]++(?=[A-Za-z0-9_]))|[:=])""",
+    re.ASCII,
+)
 PART = re.compile(
     r"""[ \t]*(?:"(?P<double>(?:[^"\\\n]|\\.)*)"|'(?P<single>(?:[^'\\\n]|\\.)*)'|`(?P<back>[^`\n]*)`"""
     r"""|(?P<bare>[A-Za-z0-9_+/.=~!@#$%^&*\-]+))"""
@@ -89,11 +95,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def assignments(text: str):
     """``(name, parts)`` in order; a part is ``(start, end, literal)`` or a name as a string."""
     end = 0
-    for op in OPERATOR.finditer(text):
-        if op.start() < end:
-            continue
-        name = NAME_BEFORE.search(text, max(0, op.start() - 100), op.start())
-        if not name:
+    for op in ASSIGNED.finditer(text):
+        if op.start("op") < end:
             continue
         parts, at = [], op.end()
         while part := PART.match(text, at):
@@ -109,26 +112,39 @@ def assignments(text: str):
             at = plus.end()
         if parts:
             end = at
-            yield name[1], parts
+            yield op[1], parts
+
+
+def pieces_of(value: tuple) -> list[tuple[int, int, str]]:
+    """Distinct literals of a value, in order; its parts are literals and other values."""
+    pieces, seen, stack = {}, set(), [value]
+    while stack:
+        one = stack.pop()
+        if len(one) == 3 and isinstance(one[2], str):
+            pieces[one] = None
+        elif id(one) not in seen:
+            seen.add(id(one))
+            stack += reversed(one)
+    return list(pieces)
 
 
 def literal_spans(text: str) -> set[tuple[int, int]]:
     """Spans of literals that end up, directly or by constants, in a sensitive name."""
     if not ("=" in text or ":" in text):
         return set()
-    constants: dict[str, list[tuple[int, int, str]]] = {}
+    constants: dict[str, tuple] = {}  # values share the values they are made of
     found: set[tuple[int, int]] = set()
     for name, parts in assignments(text):
-        pieces: list[tuple[int, int, str]] = []
-        for start, end, value, identifier in parts:
-            if identifier and value in constants:
-                pieces += constants[value]
-            else:
-                pieces.append((start, end, value))
-        pieces = pieces[:64]  # a constant that doubles itself again and again
-        constants[name] = pieces
+        value = tuple(
+            constants[word] if identifier and word in constants else (start, end, word)
+            for start, end, word, identifier in parts
+        )
+        constants[name] = value
         score = name_score(name)
-        if score >= 2.5 and score + literal_score("".join(p[2] for p in pieces)) >= LEAST_SCORE:
+        if score < 2.5:
+            continue
+        pieces = pieces_of(value)
+        if score + literal_score("".join(p[2] for p in pieces)) >= LEAST_SCORE:
             found |= {(a, b) for a, b, _ in pieces if b > a}
     return found
 

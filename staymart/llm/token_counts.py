@@ -22,7 +22,7 @@ from staymart.llm.common import scan
 MARK = "▁"
 #: Words remembered in a Python worker; the first ones, the common ones are among them.
 MOST_KNOWN = 600_000
-#: Pieces longer than this are left out of the vocabulary.
+#: The longest piece of the registered vocabulary; other files may hold longer ones.
 LONGEST_PIECE = 16
 CODE_SPAN = 1 << 21
 MANY = np.iinfo(np.int64).max // 4
@@ -65,7 +65,7 @@ def zipf_pieces(path: str) -> tuple[dict[str, float], float]:
         if not (model.is_unknown(i) or model.is_control(i) or model.is_byte(i) or model.is_unused(i))
     ]
     norm = float(np.log(sum(1 / (r + 2) for r in range(len(usual) + 1))))
-    scores = {p: -float(np.log(r + 2)) - norm for r, p in enumerate(usual) if 0 < len(p) <= LONGEST_PIECE}
+    scores = {p: -float(np.log(r + 2)) - norm for r, p in enumerate(usual) if p}
     return scores, -float(np.log(len(usual) + 2)) - norm
 
 

@@ -13,11 +13,14 @@ from staymart.llm.language import fit_languages, languages_of
 from staymart.llm.lines import line_report
 from staymart.llm.mixing import MIXTURE_SQL, mixture
 from staymart.llm.packing import pieces
+from staymart.llm.periodic_runs import run_report
 from staymart.llm.quality_model import quality_scores, rule_ensemble_for
 from staymart.llm.quality_rules import judged, rules_for
 from staymart.llm.secrets import secret_scan
 from staymart.llm.simhash import simhash_groups
+from staymart.llm.spans import span_report
 from staymart.llm.token_counts import token_counts
+from staymart.llm.whitening import whitened_vectors
 
 #: The vocabulary files that the queries use; any other place is a parameter of the operators.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -86,3 +89,18 @@ def op7_packing(spark, sf_dir):
 @query
 def op10_line_dedup(spark, sf_dir):
     return line_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_substring_dedup(spark, sf_dir):
+    return span_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    return run_report(table(spark, sf_dir, "documents"), periodic=True)
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    return whitened_vectors(table(spark, sf_dir, "embeddings"))

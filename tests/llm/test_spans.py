@@ -1,0 +1,119 @@
+import hashlib
+import random
+
+from pyspark.sql import functions as F
+
+from staymart.llm import queries, spans
+
+
+def slow(rows):
+    """(doc_id, n_words, n_removed, digest) per row, windows held as tuples."""
+    texts = [(spans.LAST if i is None else i, (t or "").encode("utf-8", "surrogatepass").split()) for i, t in rows]
+    first = {}
+    for doc, words in texts:
+        for i in range(len(words) - 12):
+            window = tuple(words[i : i + 13])
+            first[window] = min(first.get(window, doc), doc)
+    out = []
+    for (doc, words), (doc_id, _) in zip(texts, rows):
+        gone = set()
+        for i in range(len(words) - 12):
+            if first[tuple(words[i : i + 13])] < doc:
+                gone.update(range(i, i + 13))
+        kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
+        out.append((doc_id, len(words), len(gone), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def found(frame):
+    return sorted(map(tuple, spans.span_report(frame).collect()), key=repr)
+
+
+def random_rows(seed, n=120):
+    """Texts with shared passages, copies, short cycles and a small vocabulary."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(60)]
+    passages = [[rng.choice(words) for _ in range(rng.randint(10, 60))] for _ in range(12)]
+    rows = []
+    for i in range(n):
+        text = []
+        for _ in range(rng.randint(0, 4)):
+            kind = rng.random()
+            if kind < 0.5:
+                p = rng.choice(passages)
+                a = rng.randrange(len(p))
+                text += p[a : a + rng.randint(1, 60)]
+            elif kind < 0.6:
+                text += rng.choices(words, k=rng.randint(1, 3)) * rng.randint(1, 20)
+            else:
+                text += rng.choices(words, k=rng.randint(1, 40))
+        rows.append((i, rng.choice([" ", "\n", "\t "]).join(text)))
+    rows += [(n + i, rows[rng.randrange(n)][1]) for i in range(20)]
+    return rows
+
+
+def test_windows_are_those_of_brute_force(spark):
+    for seed in (1, 2):
+        rows = random_rows(seed)
+        random.Random(seed).shuffle(rows)
+        assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == slow(rows)
+
+
+def test_repeated_and_null_ids_and_odd_texts(spark, odd_docs, no_docs):
+    assert found(odd_docs) == slow([(r[0], r[1]) for r in odd_docs.collect()])
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(None, passage), (None, passage), (7, passage + " a b"), (7, "x " + passage), (9, passage), (9, passage), (3, None), (3, "")]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == slow(rows)
+    assert spans.span_report(no_docs).collect() == []
+    assert spans.repeated_spans(no_docs).collect() == []
+
+
+def test_names_that_clash(spark):
+    rows = random_rows(3, 40)
+    plain = spark.createDataFrame(rows, "doc_id long, text string")
+    clash = plain.select("*", *[F.lit(1).alias(c) for c in ("doc", "salt", "minimizer", "path", "place", "hits", "asked", "n_words")])
+    assert found(clash) == slow(rows)
+
+
+def test_spans_cover_what_is_removed_and_stand_in_their_source(spark):
+    rows = random_rows(4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found_spans = spans.repeated_spans(docs)
+    checked = spans.verified(docs, found_spans).collect()
+    assert len(checked) == found_spans.count() and all(r["same"] for r in checked)
+    covered = {}
+    for r in checked:
+        assert r["length"] >= 13 and r["source_doc_id"] < r["doc_id"]
+        covered.setdefault(r["doc_id"], set()).update(range(r["start"], r["start"] + r["length"]))
+    removed = {r[0]: r[2] for r in slow(rows)}
+    assert {d: len(c) for d, c in covered.items()} == {d: n for d, n in removed.items() if n}
+
+
+def test_a_long_passage_is_one_span(spark):
+    rng = random.Random(5)
+    passage = [str(rng.random()) for _ in range(5_000)]
+    rows = [(1, " ".join(["a", "b", *passage])), (2, " ".join(["c", *passage, "d"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [tuple(r) for r in spans.repeated_spans(docs).collect()] == [(2, 1, 5_000, 1, 2)]
+
+
+def test_a_span_of_other_words_is_told(spark):
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "x b c d")], "doc_id long, text string")
+    wrong = spark.createDataFrame([(2, 1, 3, 1, 1), (2, 0, 3, 1, 0)], spans.SPAN)
+    assert {r["start"]: r["same"] for r in spans.verified(docs, wrong).collect()} == {1: True, 0: False}
+
+
+def test_paths_that_do_not_branch_are_settled_by_the_join(spark, tmp_path):
+    rng = random.Random(6)
+    text = " ".join(str(rng.random()) for _ in range(400))
+    docs = spark.createDataFrame([(i, text) for i in range(50)], "doc_id long, text string")
+    judged = spans.judged_documents(docs, str(tmp_path)).collect()
+    assert not any(r["asked"] for r in judged)
+    assert sorted(r["n_removed"] for r in judged) == [0] + [400] * 49
+
+
+def test_query_equals_brute_force_on_whole_table(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    got = sorted(map(tuple, queries.op11_substring_dedup(spark, sf_dir).collect()), key=repr)
+    assert got == slow(rows)

@@ -1,0 +1,104 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from staymart.llm import queries, whitening
+
+
+def slow(rows, weighted=False, k=4):
+    """vec_id -> deviation and |whitened|, with explained shares, in plain numpy."""
+    good = [(i, [math.floor(256 * c) for c in v]) for i, v in rows if v and all(c is not None and math.isfinite(c) for c in v)]
+    x = np.array([v for _, v in good])
+    distinct, counts = np.unique(x, axis=0, return_counts=True)
+    w = counts if weighted else np.ones(len(distinct), int)
+    n, sums = int(w.sum()), (w[:, None] * distinct).sum(axis=0)
+    centred = distinct - sums / n
+    v = (centred * w[:, None]).T @ centred / n
+    e, axes = np.linalg.eigh(v)
+    e, axes = e[::-1], axes[:, ::-1]
+    k = min(k, int((e > np.trace(v) * x.shape[1] * 2.0**-52).sum()))
+    out = []
+    for (i, row), z in zip(good, (x - sums / n) @ axes[:, :k] / np.sqrt(e[:k])):
+        deviation = sum((n * a - int(s)) ** 2 for a, s in zip(row, sums))
+        out += [(i, c + 1, n, deviation, abs(z[c]), e[c] / np.trace(v)) for c in range(k)]
+    return sorted(out)
+
+
+def check(got, wanted):
+    got = sorted((r["vec_id"], r["component"], r["n"], r["deviation"], abs(r["whitened"]), r["explained"], r["identity_error"]) for r in got)
+    assert [r[:4] for r in got] == [r[:4] for r in wanted]
+    for g, w in zip(got, wanted):
+        assert math.isclose(g[4], w[4], rel_tol=1e-8, abs_tol=1e-8) and math.isclose(g[5], w[5], rel_tol=1e-9)
+        assert 0 <= g[6] <= 1e-4
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+
+
+def random_rows(seed, n=300, width=6):
+    rng = np.random.default_rng(seed)
+    base = (rng.standard_normal((n, width)) * np.arange(1, width + 1)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(base)]
+    rows += [(1_000 + i, base[7].tolist()) for i in range(150)]  # a third are copies of one
+    rows += [(2_000 + i, (np.floor(base[i] * 256) / 256 + 0.001).tolist()) for i in range(min(n, 40))]  # alike on the grid only
+    return rows
+
+
+def test_equals_plain_numpy(spark):
+    rows = random_rows(1)
+    for weighted in (False, True):
+        got = whitening.whitened_vectors(frame(spark, rows), weighted=weighted).collect()
+        check(got, slow(rows, weighted))
+
+
+def test_query_equals_plain_numpy_on_whole_table(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    check(queries.op13_whitening(spark, sf_dir).collect(), slow(rows))
+
+
+def test_bad_vectors_are_left_out(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = random_rows(2, 40)
+    bad = [(9_001, None), (9_002, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (9_003, [nan] * 6), (9_004, [1.0] * 5 + [-inf]), (9_005, [])]
+    got = whitening.whitened_vectors(frame(spark, rows + bad)).collect()
+    check(got, slow(rows))
+
+
+def test_null_and_repeated_ids_and_clashing_names(spark):
+    rows = random_rows(3, 30)
+    odd = rows + [(None, rows[0][1]), (5, rows[5][1])]
+    docs = frame(spark, odd).withColumns({c: F.lit("z") for c in ("x", "h", "width", "n", "copies", "whitened", "at", "label")})
+    got = whitening.whitened_vectors(docs).collect()
+    assert sum(r["vec_id"] is None for r in got) == 4 and sum(r["vec_id"] == 5 for r in got) == 8
+    null = sorted((r["component"], abs(r["whitened"])) for r in got if r["vec_id"] is None)
+    assert null == sorted((r["component"], abs(r["whitened"])) for r in got if r["vec_id"] == 0)
+
+
+def test_no_spread_and_no_rows_give_no_rows(spark):
+    assert whitening.whitened_vectors(frame(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0])])).collect() == []
+    assert whitening.whitened_vectors(frame(spark, [])).collect() == []
+    line = [(i, [float(i), 2.0 * i, 0.0]) for i in range(9)]  # one direction, so one component
+    got = whitening.whitened_vectors(frame(spark, line)).collect()
+    assert {r["component"] for r in got} == {1} and len(got) == 9
+    check(got, slow(line))
+
+
+def test_widths_are_fitted_apart(spark):
+    one, two = random_rows(4, 50, 3), [(5_000 + i, v) for i, v in random_rows(5, 50, 5)]
+    got = whitening.whitened_vectors(frame(spark, one + two)).collect()
+    check([r for r in got if r["vec_id"] < 5_000], slow(one))
+    check([r for r in got if r["vec_id"] >= 5_000], slow(two))
+
+
+def test_deviations_are_exact_or_fail():
+    fit = whitening.Fit(3, [7, -5], np.eye(2), np.ones(2), 2.0)
+    x = np.array([[1 << 28, 4], [-(1 << 27), 0]])
+    assert whitening.deviations(x, fit) == [sum((3 * int(a) - s) ** 2 for a, s in zip(row, fit.sums)) for row in x]
+    near = np.array([[1 << 29, 1 << 29]])  # above 2^62, still a long
+    assert whitening.deviations(near, fit) == [sum((3 * int(a) - s) ** 2 for a, s in zip(near[0], fit.sums))]
+    with pytest.raises(OverflowError):
+        whitening.deviations(np.array([[1 << 40, 0]]), fit)

@@ -260,6 +260,8 @@ def runs_of_texts(texts: list[list[bytes]]) -> list[tuple[np.ndarray, np.ndarray
     whole[~between] = codes
     i, q = grid_hits(whole, max(map(len, texts), default=0))
     of = np.searchsorted(ends, i, "right")
+    within = of == np.searchsorted(ends, i + q, "right")
+    i, q, of = i[within], q[within], of[within]
     hit = np.unique(of)
     starts = np.append(0, ends[:-1])
     moved = np.cumsum(ends[hit] - starts[hit]) - (ends[hit] - starts[hit])

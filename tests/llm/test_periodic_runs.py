@@ -52,6 +52,15 @@ def test_texts_of_a_slice_do_not_mix():
     assert pr.runs_of_texts([]) == []
 
 
+def test_copies_beside_each_other_have_no_runs_in_common():
+    rng = random.Random(7)
+    copy = [b"%d" % rng.randrange(10**6) for _ in range(120)]
+    long = [b"x%d" % i for i in range(4_000)]
+    texts = [copy, copy, [b"y"] * 9 + copy, copy, long, copy * 5, copy]
+    found = pr.runs_of_texts(texts)
+    assert [list(zip(*(c.tolist() for c in f))) for f in found] == [slow_runs(t) for t in texts]
+
+
 def test_extensions_are_those_of_brute_force():
     rng = random.Random(3)
     for _ in range(30):

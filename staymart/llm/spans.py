@@ -5,35 +5,36 @@ to their last. Only edges that occur in two documents matter, and most do not. E
 minimizer: the least hash of the runs of ``GRAM`` words in it. Consecutive edges of a text with
 one minimizer form a path, and paths are what goes through Spark:
 
-1. All paths are shuffled by minimizer once and joined with what is known of it: the smallest
-   and largest document, whether all its paths are the same, and the place in the smallest. A
-   minimizer of a single document is of no further use. If all its paths are the same, the path
-   does not branch: it repeats as a whole, and the join settles all its edges at once.
-2. Edges of paths that branch, as at the ends of a repeat, are grouped one by one.
+1. All paths are shuffled by minimizer, once. A minimizer of a single document is of no further
+   use. A path that is also in a smaller document repeats as a whole, and all its edges are
+   settled at once; its source is the smallest document that has it.
+2. If a minimizer has several paths, they branch, as at the ends of a repeat. The edges of the
+   first occurrence of each such path are grouped one by one and joined back.
 3. Edges that follow each other, and do so at their source, too, make up one long span.
 
-Hashes: an edge of a path that does not branch is known by those of its minimizer and of the
-path, 64 bits each; one that branches by two of 64 bits. ``verified`` compares spans with the
-words at their source coordinates.
+Hashes: a path is known by those of its minimizer and of its edges, 64 bits each; an edge of a
+path that branches by two of 64 bits. ``verified`` compares spans with the words at their source
+coordinates.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import defaultdict
 from dataclasses import dataclass
 from itertools import count
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from staymart.llm.common import scan, stage_text, utf8
 from staymart.scratch import scratch_folder, stage
 
 #: Words of a window, and of the runs whose least hash is its minimizer.
-K, GRAM = 13, 5
+K, GRAM = 13, 7
 #: A null id counts as the largest one.
 LAST = 2**63 - 1
 U64 = np.uint64
@@ -76,30 +77,25 @@ class Paths:
     size: np.ndarray
     minimizer: np.ndarray
     path: np.ndarray
-    hashes: np.ndarray  # of all words of all texts
+    edge: np.ndarray  # a hash of the window at each word of all texts, sensible within a text
     vocabulary: dict[bytes, int]
     codes: np.ndarray  # words of all texts, numbered as in the vocabulary
     first: np.ndarray  # where each text starts in ``codes``
 
-    def edges(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Two hashes of each window of path ``i``."""
-        a = self.first[self.text[i]] + self.start[i]
-        b = a + self.size[i] + K - 1
-        other = np.array([xxhash.xxh64_intdigest(w, 2) for w in self.words(a, b)], U64)
-        return rolled(self.hashes[a:b], WEIGHTS[:K]), rolled(other, WEIGHTS[K : 2 * K])
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of the window at each word; the second one is made only now."""
+        return self.edge, rolled(hashes(self.vocabulary, 2)[self.codes], WEIGHTS[K : 2 * K])
 
-    def words(self, a: int, b: int) -> list[bytes]:
-        if not hasattr(self, "listed"):
-            self.listed = list(self.vocabulary)
-        return [self.listed[c] for c in self.codes[a:b].tolist()]
+
+def hashes(vocabulary: dict[bytes, int], seed: int) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w, seed) for w in vocabulary], U64)
 
 
 def paths_of(texts: list[list[bytes]]) -> Paths:
     """The paths of texts given as words."""
     vocabulary: dict[bytes, int] = defaultdict(count().__next__)
     codes = np.fromiter((vocabulary[w] for t in texts for w in t), np.int64)
-    table = np.array([xxhash.xxh64_intdigest(w, 1) for w in vocabulary], U64)
-    h = table[codes] if len(codes) else np.zeros(0, U64)
+    h = hashes(vocabulary, 1)[codes]
     sizes = np.array([len(t) for t in texts], np.int64)
     first = np.cumsum(sizes) - sizes
     windows = np.maximum(0, sizes - K + 1)
@@ -112,16 +108,16 @@ def paths_of(texts: list[list[bytes]]) -> Paths:
     of = np.repeat(np.arange(len(texts)), windows)
     place = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
     at = first[of] + place
-    edge, least = edge[at], least[at]
+    own, least = edge[at], least[at]
     new = np.ones(len(at), bool)
     new[1:] = (least[1:] != least[:-1]) | (of[1:] != of[:-1])
     begin = np.flatnonzero(new)
     size = np.diff(np.append(begin, len(at)))
     # the hash of a path is a polynomial in its edges, taken from sums over the whole slice
-    sums = np.append(U64(0), np.cumsum(edge * powers(BASE, len(edge)), dtype=U64))
-    path = (sums[begin + size] - sums[begin]) * powers(BACK, len(edge))[begin] if len(begin) else sums[:0]
+    sums = np.append(U64(0), np.cumsum(own * powers(BASE, len(own)), dtype=U64))
+    path = (sums[begin + size] - sums[begin]) * powers(BACK, len(own))[begin] if len(begin) else sums[:0]
     path = mixed(path + size.astype(U64))
-    return Paths(of[begin], place[begin], size, least[begin], path, h, vocabulary, codes, first)
+    return Paths(of[begin], place[begin], size, least[begin], path, edge, vocabulary, codes, first)
 
 
 def identified(docs: DataFrame) -> DataFrame:
@@ -152,31 +148,31 @@ def path_rows(part: dict[str, list]) -> dict[str, np.ndarray]:
     return {"minimizer": p.minimizer[once].view(np.int64), "path": p.path[once].view(np.int64), "doc": doc[p.text[once]], "place": place}
 
 
-LISTED = "array<struct<minimizer:bigint,path:bigint,source:bigint,source_start:bigint,branches:boolean>>"
-
-
 def listed_paths(rows: DataFrame) -> DataFrame:
-    """``doc, salt, paths``: per document those of its paths that another document may share.
+    """``doc, salt, paths``: per document those of its paths that another document may share,
+    with a source, or none if the edges have to be asked about.
 
-    One shuffle serves the summary per minimizer and the join with it. Paths that do not branch
-    are left out where their document is itself the smallest.
+    One shuffle and one sort serve both windows.
     """
-    dealt = rows.repartition("minimizer")
-    known = dealt.groupBy("minimizer").agg(
-        F.min("doc").alias("source"),
-        F.max("doc").alias("largest"),
-        F.min("path").alias("one"),
-        F.max("path").alias("other"),
-        F.min_by("place", "doc").alias("source_place"),
+    alike, met = Window.partitionBy("minimizer", "path"), Window.partitionBy("minimizer")
+    known = rows.repartition("minimizer").select(
+        "*", F.min("doc").over(alike).alias("source"), F.min_by("place", "doc").over(alike).alias("source_place")
     )
-    known = known.where("source < largest").select(
+    known = known.select(
+        "*",
+        F.min("source").over(met).alias("least"),
+        F.max("doc").over(met).alias("largest"),
+        F.min("path").over(met).alias("one"),
+        F.max("path").over(met).alias("other"),
+    )
+    again, branches = F.col("source") < F.col("doc"), F.col("one") != F.col("other")
+    shared = known.where((F.col("least") < F.col("largest")) & (again | branches))
+    entry = F.struct(
         "minimizer",
-        "source",
+        "path",
+        F.when(again, F.col("source")).alias("source"),
         F.col("source_place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("source_start"),
-        (F.col("one") != F.col("other")).alias("branches"),
     )
-    shared = dealt.join(known.hint("merge"), "minimizer").where(F.col("branches") | (F.col("source") < F.col("doc")))
-    entry = F.struct("minimizer", "path", "source", "source_start", "branches")
     salt = F.shiftright("place", 32).cast("int").alias("salt")
     return shared.groupBy("doc", salt).agg(F.collect_list(entry).alias("paths"))
 
@@ -194,13 +190,14 @@ def counted(words: list[bytes], hits: list[tuple[int, int]]) -> tuple[int, str]:
 
 
 STRETCH = "array<struct<start:bigint,size:bigint,source:bigint,source_start:bigint>>"
-JUDGED = f"""doc_id long, doc long, salt int, n_words long, n_removed long, kept_sha256 string, text string,
-    hits {STRETCH}, asked array<struct<start:bigint,one:bigint,two:bigint>>"""
+JUDGED = f"""doc_id long, doc long, salt int, n_words long, n_removed long, kept_sha256 string, packed binary,
+    hits {STRETCH}, start array<long>, one array<long>, two array<long>"""
+ASKED = ["start", "one", "two"]
 
 
 def judged_rows(part: dict[str, list]) -> dict[str, list]:
-    """What the joined paths say of each text, and the windows still to be asked about. A text
-    with none of these is done and not handed on."""
+    """What the listed paths say of each text, and the windows still to be asked about. Only a
+    text with some of these is handed on, compressed."""
     out = defaultdict(list)
     texts = [utf8(t).split() for t in part["text"]]
     some = [k for k, paths in enumerate(part["paths"]) if paths]
@@ -215,30 +212,34 @@ def judged_rows(part: dict[str, list]) -> dict[str, list]:
             e = known.get(names[i])
             if e is None:
                 continue
-            start, size = int(p.start[i]), int(p.size[i])
-            if e["branches"]:
-                one, two = p.edges(i)
-                asked += zip(range(start, start + size), one.view(np.int64).tolist(), two.view(np.int64).tolist())
-            elif e["source"] < part["doc"][k]:
-                hits.append((start, size, e["source"], e["source_start"]))
+            if e["source"] is None:
+                asked.append(i)
+            else:
+                hits.append((int(p.start[i]), int(p.size[i]), e["source"], e["source_start"]))
         found[k] = hits, asked
+    one, two = p.edges() if any(asked for _, asked in found.values()) else (None, None)
+    none = np.zeros(0, np.int64)
     for k, words in enumerate(texts):
         hits, asked = found.get(k, ((), ()))
-        removed = (None, None) if asked else counted(words, [h[:2] for h in hits])
-        for name, value in zip(("n_removed", "kept_sha256"), removed):
-            out[name].append(value)
+        removed, digest = (None, None) if asked else counted(words, [h[:2] for h in hits])
+        start = np.concatenate([np.arange(p.start[i], p.start[i] + p.size[i]) for i in asked] or [none])
+        at = start + p.first[p.text[asked[0]]] if asked else none
         for name in ("doc_id", "doc", "salt"):
             out[name].append(part[name][k])
         out["n_words"].append(len(words))
-        out["text"].append(part["text"][k] if asked else None)
+        out["n_removed"].append(removed)
+        out["kept_sha256"].append(digest)
+        out["packed"].append(zlib.compress(utf8(part["text"][k]), 1) if asked else None)
         out["hits"].append([dict(zip(("start", "size", "source", "source_start"), h)) for h in hits])
-        out["asked"].append([dict(zip(("start", "one", "two"), a)) for a in asked])
+        out["start"].append(start)
+        out["one"].append(one[at].view(np.int64) if asked else none)
+        out["two"].append(two[at].view(np.int64) if asked else none)
     return out
 
 
 def answers(judged: DataFrame) -> DataFrame:
     """``doc, salt, answers``: the asked windows that a document with a smaller id has, too."""
-    rows = judged.where(F.size("asked") > 0).select("doc", "salt", F.inline("asked"))
+    rows = judged.where("n_removed IS NULL").select("doc", "salt", F.inline(F.arrays_zip(*ASKED)))
     known = rows.groupBy("one", "two").agg(
         F.min("doc").alias("source"), F.max("doc").alias("largest"), F.min_by("start", "doc").alias("source_start")
     )
@@ -253,11 +254,11 @@ def settled(part: dict[str, list], finish) -> dict[str, list]:
     for k in range(len(part["doc_id"])):
         known = {(a["one"], a["two"]): a for a in part["answers"][k] or ()}
         hits = [(h["start"], h["size"], h["source"], h["source_start"]) for h in part["hits"][k]]
-        for w in part["asked"][k]:
-            a = known.get((w["one"], w["two"]))
+        for start, one, two in zip(*(part[c][k] for c in ASKED)):
+            a = known.get((one, two))
             if a is not None:
-                hits.append((w["start"], 1, a["source"], a["source_start"]))
-        for name, values in finish(k, utf8(part["text"][k]).split(), sorted(hits)).items():
+                hits.append((start, 1, a["source"], a["source_start"]))
+        for name, values in finish(k, zlib.decompress(part["packed"][k]).split(), sorted(hits)).items():
             out[name] += values
     return out
 
@@ -270,8 +271,11 @@ def judged_documents(docs: DataFrame, folder: str) -> DataFrame:
     return stage_text(scan(both, ["doc_id", "text", "doc", "salt", "paths"], judged_rows, JUDGED), folder, "judged")
 
 
+PENDING = ["doc_id", "n_words", "packed", "hits", *ASKED]
+
+
 def asked_rows(judged: DataFrame) -> DataFrame:
-    pending = judged.where("n_removed IS NULL").select("doc_id", "doc", "salt", "n_words", "text", "hits", "asked")
+    pending = judged.where("n_removed IS NULL").select("doc", "salt", *PENDING)
     return pending.join(answers(judged).hint("merge"), ["doc", "salt"], "left")
 
 
@@ -296,7 +300,7 @@ def span_report(docs: DataFrame, folder: str | None = None) -> DataFrame:
 
         return settled(part, finish)
 
-    later = scan(asked_rows(judged), ["doc_id", "n_words", "text", "hits", "asked", "answers"], rows, REPORT)
+    later = scan(asked_rows(judged), [*PENDING, "answers"], rows, REPORT)
     done = judged.where("n_removed IS NOT NULL").select("doc_id", "n_words", "n_removed", "kept_sha256")
     return done.unionByName(later)
 
@@ -341,7 +345,7 @@ def repeated_spans(docs: DataFrame, folder: str | None = None) -> DataFrame:
     done = judged.where("n_removed > 0").select("doc_id", "hits")
     asked = asked_rows(judged)
     return scan(done, ["doc_id", "hits"], early, SPAN).unionByName(
-        scan(asked, ["doc_id", "text", "hits", "asked", "answers"], late, SPAN)
+        scan(asked, [*PENDING, "answers"], late, SPAN)
     )
 
 

@@ -108,7 +108,7 @@ def test_paths_that_do_not_branch_are_settled_by_the_join(spark, tmp_path):
     text = " ".join(str(rng.random()) for _ in range(400))
     docs = spark.createDataFrame([(i, text) for i in range(50)], "doc_id long, text string")
     judged = spans.judged_documents(docs, str(tmp_path)).collect()
-    assert not any(r["asked"] for r in judged)
+    assert not any(r["start"] for r in judged)
     assert sorted(r["n_removed"] for r in judged) == [0] + [400] * 49
 
 

@@ -8,9 +8,20 @@ tells the line's but for one or two, and probes the substrings at those places f
 lengths down to its own less ``EDITS``. What meets is verified by bit-parallel edit
 distance within the band of diagonals that ``EDITS`` edits can reach.
 
-A line is known by two 64-bit hashes; the links between lines by the first of them. Copies
-of a line are one node. Lines so frequent that at most ``COMMON`` of them can exist are
-taken out before segments are made and put back once each, so no copies are paired.
+Lines of one template, which share segments by the thousand, are not paired. What all lines
+under a crowded key have in common at both ends is taken off, and if a short middle is left,
+lines meet under variants of it: letters taken out, or places left open. Two lines are within
+``EDITS`` exactly if they meet in one of the ways listed at ``variants``, so the groups stand
+for all their pairs and are used as they are.
+
+Which lines stay is settled smallest place first: a line stays if no smaller line within
+``EDITS`` of it stays, else it is dropped for the smallest one that does. So whatever is dropped
+is within ``EDITS`` of a line that stays, and chains of near lines do not fall as a whole.
+
+A line is known by two 64-bit hashes. Should different lines have the first one in common, they
+take no part in the join. Copies of a line are one node. Lines so frequent that at most
+``COMMON`` of them can exist are taken out before segments are made and put back once each, so
+no copies are paired.
 """
 
 from __future__ import annotations
@@ -23,7 +34,6 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from staymart.llm.common import WORD, stage_text
-from staymart.llm.components import connected_components
 from staymart.scratch import scratch_folder, stage
 
 EDITS = 2
@@ -38,6 +48,8 @@ COMMON = 10_000
 MOST_BROADCAST = 1_000_000
 #: A key under which more lines are indexed is crowded: its pairs go by letter parities.
 CROWD = 16
+#: Middles of up to so many letters go by variants (no more than about 300 of them).
+MIDDLE = 12
 BLANKS = " \t\x0b\x0c\r"
 
 
@@ -213,12 +225,12 @@ def segment_keys(lines: DataFrame, classes: DataFrame, total: int, folder: str)
 
 
 def texts_and_marks(lines: DataFrame, ids: DataFrame) -> DataFrame:
-    """``h, line, mark`` of the lines whose first hash is in ``ids(h1)``."""
+    """``h, h2, line, mark`` of the lines whose first hash is in ``ids(h1)``."""
     few = ids.count() <= MOST_BROADCAST
     chosen = lines.join(F.broadcast(ids) if few else ids, "h1", "left_semi")
-    rows = chosen.groupBy("h1", "h2").agg(F.min("line").alias("line"))
+    rows = chosen.groupBy("h1").agg(F.min("line").alias("line"), F.min("h2").alias("h2"), F.max("h2").alias("other"))
     mark = F.struct(mark_of("line").alias("odd"), F.char_length("line").alias("length"))
-    return rows.select(F.col("h1").alias("h"), "line", mark.alias("mark"))
+    return rows.where("h2 = other").select(F.col("h1").alias("h"), "h2", "line", mark.alias("mark"))
 
 
 def alike(p: str, q: str) -> Column:
@@ -249,10 +261,99 @@ def crowded_pairs(crowd: DataFrame, marks: DataFrame) -> DataFrame:
     return ordered(rows.join(other, ["key", "part", "bits"]).where((F.col("p") < F.col("q")) & alike("mark", "other")))
 
 
+def shared_letters(one: Column, other: Column, part: Callable[[Column, Column], Column]) -> Column:
+    """How many letters two strings have in common at an end, by halving; ``part`` takes so many
+    letters from that end of a string."""
+    short = F.least(F.char_length(one), F.char_length(other))
+    halvings = F.reverse(F.sequence(F.lit(0), F.ceil(F.log2(short + 1)).cast("int")))
+
+    def step(known: Column, power: Column) -> Column:
+        more = known + F.call_function("shiftleft", F.lit(1), power)
+        return F.when((more <= short) & (part(one, more) == part(other, more)), more).otherwise(known)
+
+    return F.aggregate(halvings, F.lit(0), step)
+
+
+def head(text: Column, n: Column) -> Column:
+    return F.substring(text, F.lit(1), n)
+
+
+def tail(text: Column, n: Column) -> Column:
+    return F.substring(text, F.char_length(text) - n + 1, n)
+
+
+def with_middles(crowd: DataFrame, texts: DataFrame, folder: str) -> DataFrame:
+    """``key, p, middle`` of ``crowd(key, p)``: what is left of the line without the letters that
+    all lines of the key share at the start and at the end; null where one is too long.
+
+    Where it is not, ``key`` becomes a hash of what was taken off, so that keys under which the
+    same lines crowd become one."""
+    rows = stage_text(crowd.join(texts.select(F.col("h").alias("p"), "line"), "p"), folder, "crowd")
+    known = stage_text(rows.groupBy("key").agg(F.min("line").alias("model")), folder, "models")
+    size = F.char_length("line")
+    each = rows.join(known, "key").select(
+        "key",
+        shared_letters(F.col("line"), F.col("model"), head).alias("first"),
+        shared_letters(F.col("line"), F.col("model"), tail).alias("last"),
+        size.alias("size"),
+    )
+    ends = each.groupBy("key").agg(F.min("first").alias("first"), F.min("last").alias("last"), F.min("size").alias("least"), F.max("size").alias("most"))
+    ends = ends.select("key", "first", F.least("last", F.col("least") - F.col("first")).alias("last"), "most")
+    ends = stage(ends, folder, "ends")
+    short = F.col("most") - F.col("first") - F.col("last") <= MIDDLE
+    middle = F.substring(F.col("line"), F.col("first") + 1, size - F.col("first") - F.col("last"))
+    ends_of = F.xxhash64(head(F.col("line"), F.col("first")), F.lit(0), tail(F.col("line"), F.col("last")))
+    key = F.when(short, ends_of).otherwise(F.col("key")).alias("key")
+    return rows.join(ends, "key").select(key, "p", F.when(short, middle).alias("middle")).distinct()
+
+
+def variants(middle: str) -> Column:
+    """Structs ``variant, hub`` of a middle. Two middles are within two edits exactly if they
+    have a variant in common in which one at least is a hub:
+
+    a  the letters, or all but one, both hubs (one out of each, or of one);
+    b  the letters, a hub, or all but two;
+    c  one place open: a hub as it is, or with one letter taken out elsewhere;
+    d  two places open, a hub.
+    """
+    text = F.col(middle)
+    none = F.array().cast("array<int>")
+
+    def places(n: Column) -> Column:
+        return F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(none)
+
+    def cut(word: Column, at: Column) -> Column:
+        return F.concat(F.substring(word, F.lit(1), at - 1), F.substring(word, at + 1, F.char_length(word)))
+
+    def each(n: Column, f: Callable[[Column], Column]) -> Column:
+        return F.transform(places(n), f)
+
+    def two(f: Callable[[Column, Column], Column]) -> Column:
+        return F.flatten(each(F.char_length(text), lambda j: each(j - 1, lambda i: f(i, j))))
+
+    size = F.char_length(text)
+    whole = F.array(text)
+    less = each(size, lambda i: cut(text, i))
+    opened = each(size, lambda i: F.concat_ws(":", i.cast("string"), cut(text, i)))
+    twice = two(lambda i, j: cut(cut(text, j), i))
+    both = F.flatten(each(size, lambda i: let(cut(text, i), lambda w: each(size - 1, lambda j: F.concat_ws(":", j.cast("string"), cut(w, j))))))
+    apart = two(lambda i, j: F.concat_ws(":", i.cast("string"), j.cast("string"), cut(cut(text, j), i)))
+    kinds = [("a", whole, True), ("a", less, True), ("b", whole, True), ("b", twice, False)]
+    kinds += [("c", opened, True), ("c", both, False), ("d", apart, True)]
+
+    def named(kind: str, words: Column, hub: bool) -> Column:
+        return F.transform(
+            F.array_distinct(words), lambda w: F.struct(F.concat_ws(":", F.lit(kind), w).alias("variant"), F.lit(hub).alias("hub"))
+        )
+
+    return F.concat(*[named(*kind) for kind in kinds])
+
+
 def near_lines(lines: DataFrame, classes: DataFrame, total: int, folder: str) -> DataFrame:
-    """``(a, b)``: first hashes of lines within ``EDITS``.
+    """``key, variant, hub, h, h2``: lines within ``EDITS`` of each other, as groups.
 
-    A line's mark, three numbers, rules out most candidates before texts
+    Two lines ``h`` of one ``key, variant`` are near if one of them is a ``hub``. A pair is a
+    group of its own. A line's mark, three numbers, rules out most candidates before texts
     are joined to them. All lines indexed under a crowded key also probe it, so its pairs are
     found among its probes.
     """
@@ -265,11 +366,44 @@ def near_lines(lines: DataFrame, classes: DataFrame, total: int, folder: str) ->
     thin = ordered(probes.where(~crowded).select("p", F.explode("some").alias("q")).where("p <> q"))
     one, two = marks.toDF("a", "x"), marks.toDF("b", "y")
     thin = thin.join(one, "a").join(two, "b").where(alike("x", "y")).select("a", "b")
-    dense = crowded_pairs(probes.where(crowded).select("key", "p"), marks)
+    crowd = stage(with_middles(probes.where(crowded).select("key", "p"), texts, folder), folder, "middles")
+    dense = crowded_pairs(crowd.where("middle IS NULL").select("key", "p"), marks)
     pairs = stage(thin.union(dense).distinct(), folder, "pairs")
     one = texts.select(F.col("h").alias("a"), F.col("line").alias("x"))
     two = texts.select(F.col("h").alias("b"), F.col("line").alias("y"))
-    return within(pairs.join(one, "a").join(two, "b")).select("a", "b")
+    pairs = within(pairs.join(one, "a").join(two, "b")).select(
+        F.col("a").alias("key"), F.concat_ws(":", F.lit("pair"), F.col("b").cast("string")).alias("variant"), F.explode(F.array("a", "b")).alias("h")
+    )
+    groups = crowd.where("middle IS NOT NULL").select("key", F.col("p").alias("h"), F.inline(variants("middle")))
+    both = pairs.select("key", "variant", F.lit(True).alias("hub"), "h").union(groups.select("key", "variant", "hub", "h"))
+    return both.join(texts.select("h", "h2"), "h")
+
+
+def dropped_nodes(near: DataFrame, folder: str) -> DataFrame:
+    """``h, stays`` of the nodes of ``near(key, variant, hub, h, place)`` that do not stay.
+
+    A round settles the nodes that have no smaller neighbour left: they stay, and their
+    neighbours go, each for the smallest of them. Groups are looked at by their least places
+    only, never by pairs; none is large, as few lines are so near to each other. Each round settles the smallest node left at least; there are as many
+    rounds as the longest falling chain of near lines has steps.
+    """
+    group = ["key", "variant"]
+
+    def least_places(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(group).agg(
+            F.min(F.when(F.col("hub"), F.col("place"))).alias("hubs"), F.min(F.when(~F.col("hub"), F.col("place"))).alias("others")
+        )
+
+    beside = F.when(F.col("hub"), F.least("hubs", "others")).otherwise(F.col("hubs"))
+    found, now = [], stage(near, folder, "near")
+    while not now.isEmpty():
+        below = now.join(least_places(now), group).groupBy("h").agg(F.min("place").alias("place"), F.min(beside).alias("least"))
+        stays = stage(below.where(F.col("least").isNull() | (F.col("least") >= F.col("place"))).select("h"), folder, "stays")
+        near_one = now.join(least_places(now.join(stays, "h")), group).withColumn("stays", beside).where("stays < place")
+        gone = stage(near_one.groupBy("h").agg(F.min("stays").alias("stays")), folder, "gone")
+        found.append(gone)
+        now = stage(now.join(stays.union(gone.select("h")), "h", "left_anti"), folder, "near")
+    return reduce(DataFrame.union, found) if found else now.select("h", F.col("place").alias("stays"))
 
 
 @dataclass
@@ -282,24 +416,24 @@ class Found:
 
 
 def repeated_lines(docs: DataFrame) -> Found:
-    """Every occurrence of a line, near copies included, but the first of its group.
+    """Every occurrence of a line but its first, and the first one, too, if the line is within
+    ``EDITS`` of a smaller one that stays.
 
-    First is the smallest ``doc_id`` (null last), then the smallest row of ``docs`` as it is
-    stored here, then the smallest line number. ``dropped`` has ``row, pos`` of the
-    occurrence and ``first_row, first_doc_id, first_pos`` of what stays in its place.
+    Smaller is the first occurrence by ``doc_id`` (null last), then by row of ``docs`` as it is
+    stored here, then by line number. ``dropped`` has ``row, pos`` of the occurrence and
+    ``first_row, first_doc_id, first_pos`` of what stays in its place.
     """
     folder = scratch_folder(docs.sparkSession)
     held = stage_text(docs.withColumn("row", F.monotonically_increasing_id()), folder, "held")
     lines = numbered_lines(held)
     classes = stage(lines.groupBy("h1", "h2").agg(F.min(place_of()).alias("first"), F.count("*").alias("n")), folder, "classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
-    groups = connected_components(near_lines(lines, classes, total, folder), folder)
-    linked = classes.join(groups, classes.h1 == groups.node).select("h1", "h2", "component", "first")
-    linked = stage(linked, folder, "linked")
-    best = linked.groupBy("component").agg(F.min("first").alias("stays"))
-    near = linked.join(best, "component").select("h1", "h2", "stays")
-    alone = classes.where("n > 1").join(linked.select("h1", "h2"), ["h1", "h2"], "left_anti")
-    stays = near.union(alone.select("h1", "h2", F.col("first").alias("stays")))
+    near = near_lines(lines, classes, total, folder)
+    places = classes.select(F.col("h1").alias("h"), "h2", F.col("first").alias("place"))
+    gone = dropped_nodes(near.join(places, ["h", "h2"]).drop("h2"), folder).withColumnRenamed("h", "h1")
+    known = stage(classes.join(gone, "h1").select("h1", "h2", "stays"), folder, "known")
+    alone = classes.where("n > 1").join(known.select("h1", "h2"), ["h1", "h2"], "left_anti")
+    stays = known.select("h1", "h2", "stays").union(alone.select("h1", "h2", F.col("first").alias("stays")))
     again = lines.drop("line").join(stays, ["h1", "h2"])
     dropped = again.where((F.col("row") != F.col("stays.row")) | (F.col("pos") != F.col("stays.pos"))).select(
         "row",

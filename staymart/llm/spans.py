@@ -237,13 +237,17 @@ def judged_rows(part: dict[str, list]) -> dict[str, list]:
     return out
 
 
-def answers(judged: DataFrame) -> DataFrame:
-    """``doc, salt, answers``: the asked windows that a document with a smaller id has, too."""
+def answers(judged: DataFrame, folder: str) -> DataFrame:
+    """``doc, salt, answers``: the asked windows that a document with a smaller id has, too.
+
+    What is known of a window is written, so that the join back is one of plain scans, which
+    adaptive execution splits where very many documents ask about one window.
+    """
     rows = judged.where("n_removed IS NULL").select("doc", "salt", F.inline(F.arrays_zip(*ASKED)))
     known = rows.groupBy("one", "two").agg(
         F.min("doc").alias("source"), F.max("doc").alias("largest"), F.min_by("start", "doc").alias("source_start")
     )
-    known = known.where("source < largest").drop("largest")
+    known = stage(known.where("source < largest").drop("largest"), folder, "known")
     again = rows.join(known, ["one", "two"]).where("source < doc")
     return again.groupBy("doc", "salt").agg(F.collect_set(F.struct("one", "two", "source", "source_start")).alias("answers"))
 
@@ -274,9 +278,9 @@ def judged_documents(docs: DataFrame, folder: str) -> DataFrame:
 PENDING = ["doc_id", "n_words", "packed", "hits", *ASKED]
 
 
-def asked_rows(judged: DataFrame) -> DataFrame:
+def asked_rows(judged: DataFrame, folder: str) -> DataFrame:
     pending = judged.where("n_removed IS NULL").select("doc", "salt", *PENDING)
-    return pending.join(answers(judged).hint("merge"), ["doc", "salt"], "left")
+    return pending.join(answers(judged, folder).hint("merge"), ["doc", "salt"], "left")
 
 
 REPORT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -290,7 +294,8 @@ def span_report(docs: DataFrame, folder: str | None = None) -> DataFrame:
     remove nothing from each other, be they equal or not. Texts shorter than a window stay.
     Other columns do not matter; an empty table gives no rows.
     """
-    judged = judged_documents(docs, folder or scratch_folder(docs.sparkSession))
+    folder = folder or scratch_folder(docs.sparkSession)
+    judged = judged_documents(docs, folder)
 
     def rows(part):
         def finish(k, words, hits):
@@ -300,7 +305,7 @@ def span_report(docs: DataFrame, folder: str | None = None) -> DataFrame:
 
         return settled(part, finish)
 
-    later = scan(asked_rows(judged), [*PENDING, "answers"], rows, REPORT)
+    later = scan(asked_rows(judged, folder), [*PENDING, "answers"], rows, REPORT)
     done = judged.where("n_removed IS NOT NULL").select("doc_id", "n_words", "n_removed", "kept_sha256")
     return done.unionByName(later)
 
@@ -325,7 +330,8 @@ def repeated_spans(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """``doc_id, start, length, source_doc_id, source_start`` in words: the spans of each text
     that stand, word for word, in a document with a smaller id. Neighbouring spans overlap
     where windows of one have another source than those of the next."""
-    judged = judged_documents(docs, folder or scratch_folder(docs.sparkSession))
+    folder = folder or scratch_folder(docs.sparkSession)
+    judged = judged_documents(docs, folder)
     names = ("doc_id", "start", "length", "source_doc_id", "source_start")
 
     def spans_of(doc_id, hits):
@@ -343,7 +349,7 @@ def repeated_spans(docs: DataFrame, folder: str | None = None) -> DataFrame:
         return {c: found.get(c, []) for c in names}
 
     done = judged.where("n_removed > 0").select("doc_id", "hits")
-    asked = asked_rows(judged)
+    asked = asked_rows(judged, folder)
     return scan(done, ["doc_id", "hits"], early, SPAN).unionByName(
         scan(asked, [*PENDING, "answers"], late, SPAN)
     )

@@ -1,11 +1,9 @@
 import random
-from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
 
 from staymart.llm import lines
-from tests.llm.test_simhash import groups
 
 BLANKS = " \t\x0b\x0c\r"
 
@@ -52,12 +50,13 @@ def brute(rows):
             line = raw.strip(BLANKS)
             if len(line) >= lines.LEAST_CHARS:
                 places.setdefault(line, []).append((doc_id is None, doc_id or 0, n, pos))
-    links = [(a, b) for a, b in combinations(places, 2) if abs(len(a) - len(b)) <= 2 and distance(a, b) <= 2]
-    root, drop = groups(places, links), []
-    for group in set(root.values()):
-        every = sorted(p for line in places if root[line] == group for p in places[line])
-        drop += [(p[2], p[3]) for p in every[1:]]
-    return sorted(drop)
+    drop, stay = [], []
+    for line in sorted(places, key=lambda x: min(places[x])):  # the smallest place first
+        near = any(abs(len(line) - len(x)) <= 2 and distance(line, x) <= 2 for x in stay)
+        drop += sorted(places[line])[0 if near else 1 :]
+        if not near:
+            stay.append(line)
+    return sorted((p[2], p[3]) for p in drop)
 
 
 @pytest.fixture(scope="module")
@@ -123,10 +122,70 @@ def test_repeated_rows_and_odd_documents(make_docs, odd_docs):
     assert lines.line_report(odd_docs).count() == 9
 
 
-def test_main_path_has_no_python(spark, texts):
+def test_main_path_has_no_python(spark, texts, monkeypatch):
+    """Neither in what is returned nor in any table written on the way."""
+    plans = []
+
+    def watched(real):
+        def write(df, folder, name):
+            plans.append(df._jdf.queryExecution().toString())
+            return real(df, folder, name)
+
+        return write
+
+    for name in ("stage", "stage_text"):
+        monkeypatch.setattr(lines, name, watched(getattr(lines, name)))
+    monkeypatch.setattr(lines, "CROWD", 1)
     frame = spark.createDataFrame(texts, "doc_id long, text string")
-    plan = lines.line_report(frame)._jdf.queryExecution().toString()
-    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+    plans.append(lines.line_report(frame)._jdf.queryExecution().toString())
+    assert len(plans) > 15
+    assert not any(word in plan for plan in plans for word in ("Python", "Pandas", "Arrow", "MapIn"))
+
+
+def template_lines(n):
+    """One line of a template a document, a number apart."""
+    return [(i, f"request {(i * 7919) % 10**6:06d} was served by the front end without delay") for i in range(n)]
+
+
+def test_template_lines_are_settled_as_by_brute_force(spark):
+    rows = [(i, f"the value number {i} of this table stands here") for i in range(400)] + [(1_000 + i, t) for i, t in template_lines(300)]
+    got = {r.doc_id: r for r in lines.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    wanted = {rows[n][0] for n, _ in brute(rows)}
+    assert {i for i, r in got.items() if r.n_dropped} == wanted and len(wanted) < 600
+    text = dict(rows)
+    for i, r in got.items():
+        for d in r.dropped:
+            assert distance(text[i], text[d.first_doc_id]) <= 2 and not got[d.first_doc_id].n_dropped
+
+
+def test_middles_meet_exactly_if_near(spark):
+    rng = random.Random(9)
+    words = ["", "a", "ab", "ba"] + ["".join(rng.choice("abc") for _ in range(rng.randrange(7))) for _ in range(60)]
+    words = sorted(set(words))
+    frame = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "h int, middle string")
+    met = {}
+    for r in frame.select("h", F.inline(lines.variants("middle"))).collect():
+        met.setdefault(r.variant, []).append((r.h, r.hub))
+    pairs = {(a, b) for group in met.values() for a, x in group for b, y in group if a < b and (x or y)}
+    wanted = {(a, b) for a in range(len(words)) for b in range(a + 1, len(words)) if distance(words[a], words[b]) <= 2}
+    assert pairs == wanted
+
+
+def test_groups_of_template_lines_grow_with_the_lines(spark, tmp_path):
+    """Rows of groups, and so the work, are so many a line, not a pair."""
+    sizes = {}
+    for n in (2_000, 8_000):
+        docs = spark.createDataFrame(template_lines(n), "doc_id long, text string").withColumn("row", F.col("doc_id"))
+        held = lines.numbered_lines(docs)
+        classes = held.groupBy("h1", "h2").agg(F.min(lines.place_of()).alias("first"), F.count("*").alias("n"))
+        sizes[n] = lines.near_lines(held, classes, n, str(tmp_path)).count()
+    assert sizes[8_000] < 6 * sizes[2_000]
+
+
+def test_lines_whose_first_hash_is_shared_take_no_part(spark):
+    rows = [("a line of more than twenty letters", 7, 1), ("another line of more than twenty", 7, 2), ("a third line of many letters", 8, 3)]
+    held = spark.createDataFrame(rows, "line string, h1 long, h2 long")
+    assert [r.h for r in lines.texts_and_marks(held, held.select("h1").distinct()).collect()] == [8]
 
 
 def test_what_is_left_of_a_document_stays(make_docs):

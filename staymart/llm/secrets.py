@@ -12,7 +12,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 
@@ -72,16 +75,78 @@ def name_score(name: str) -> float:
     return sum(SENSITIVE.get(w.lower(), 0.0) for w in set(WORDS.findall(name)))
 
 
-def literal_score(text: str) -> float:
-    """0 for what cannot be a secret; else up to 4 for length, mixture and entropy."""
-    if len(text) < 8 or re.search(r"\s", text) or PLACEHOLDER.search(text):
-        return 0.0
-    counts = Counter(text)
-    entropy = -sum(c / len(text) * math.log2(c / len(text)) for c in counts.values())
-    kinds = sum(bool(re.search(p, text)) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9]"))
-    if kinds < 2 or entropy < 2.5:
-        return 0.0
-    return 1.0 + min(1.0, len(text) / 20) + min(1.0, entropy / 4) + kinds / 4
+@dataclass(eq=False, slots=True)
+class Look:
+    """What the score of a string needs to know, so that it can be put together from parts."""
+
+    counts: Counter
+    plain: bool  # no white space, nothing of a placeholder in any part
+
+    def score(self) -> float:
+        """0 for what cannot be a secret; else up to 4 for length, mixture and entropy."""
+        size = sum(self.counts.values())
+        if size < 8 or not self.plain:
+            return 0.0
+        entropy = -sum(c / size * math.log2(c / size) for c in self.counts.values())
+        kinds = len({kind_of(c) for c in self.counts})
+        if kinds < 2 or entropy < 2.5:
+            return 0.0
+        return 1.0 + (1.0 if size >= 20 else size / 20) + min(1.0, entropy / 4) + kinds / 4
+
+
+def kind_of(letter: str) -> str:
+    if not letter.isascii() or not letter.isalnum():
+        return "other"
+    return "digit" if letter.isdigit() else "upper" if letter.isupper() else "lower"
+
+
+def look_of(text: str) -> Look:
+    return Look(Counter(text), not (re.search(r"\s", text) or PLACEHOLDER.search(text)))
+
+
+def merged(one: Look, other: Look) -> Look:
+    return Look(one.counts + other.counts, one.plain and other.plain)
+
+
+@dataclass(eq=False, slots=True)
+class Value:
+    """A literal with its span, or a concatenation of other values; shared, never copied."""
+
+    parts: tuple[Value, ...] = ()
+    span: tuple[int, int] = (0, 0)
+    text: str = ""
+    look: Look | None = None
+    marked: bool = False
+
+
+def look_at(value: Value) -> Look:
+    """The look of a value, computed once for it and for all that it is made of."""
+    stack = [value]
+    while stack:
+        one = stack[-1]
+        open_parts = [p for p in one.parts if p.look is None] if one.look is None else []
+        if open_parts:
+            stack += open_parts
+            continue
+        if one.look is None:
+            one.look = reduce(merged, (p.look for p in one.parts)) if one.parts else look_of(one.text)
+        stack.pop()
+    return value.look
+
+
+def mark(value: Value, found: set[tuple[int, int]]) -> None:
+    """Puts the spans of all literals of a value into ``found``; what is marked is not gone
+    through again."""
+    stack = [value]
+    while stack:
+        one = stack.pop()
+        if one.marked:
+            continue
+        one.marked = True
+        if one.parts:
+            stack += one.parts
+        elif one.span[1] > one.span[0]:
+            found.add(one.span)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -115,40 +180,41 @@ def assignments(text: str):
             yield op[1], parts
 
 
-def pieces_of(value: tuple) -> list[tuple[int, int, str]]:
-    """Distinct literals of a value, in order; its parts are literals and other values."""
-    pieces, seen, stack = {}, set(), [value]
-    while stack:
-        one = stack.pop()
-        if len(one) == 3 and isinstance(one[2], str):
-            pieces[one] = None
-        elif id(one) not in seen:
-            seen.add(id(one))
-            stack += reversed(one)
-    return list(pieces)
-
-
 def literal_spans(text: str) -> set[tuple[int, int]]:
     """Spans of literals that end up, directly or by constants, in a sensitive name."""
     if not ("=" in text or ":" in text):
         return set()
-    constants: dict[str, tuple] = {}  # values share the values they are made of
+    constants: dict[str, Value] = {}
     found: set[tuple[int, int]] = set()
     for name, parts in assignments(text):
-        value = tuple(
-            constants[word] if identifier and word in constants else (start, end, word)
+        values = tuple(
+            constants[word] if identifier and word in constants else Value(span=(start, end), text=word)
             for start, end, word, identifier in parts
         )
-        constants[name] = value
+        value = constants[name] = values[0] if len(values) == 1 else Value(values)
         score = name_score(name)
-        if score < 2.5:
-            continue
-        pieces = pieces_of(value)
-        if score + literal_score("".join(p[2] for p in pieces)) >= LEAST_SCORE:
-            found |= {(a, b) for a, b, _ in pieces if b > a}
+        if score >= 2.5 and not value.marked and score + look_at(value).score() >= LEAST_SCORE:
+            mark(value, found)
     return found
 
 
+def apart(spans: set[tuple[int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The spans that overlap none of ``base``, which is sorted by start."""
+    starts, ends = [], []  # the base as stretches without gaps or overlaps
+    for start, _, end in base:
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    out = []
+    for a, b in spans:
+        k = bisect_left(starts, b) - 1  # the last stretch that starts before the span's end
+        if k < 0 or ends[k] <= a:
+            out.append((a, b))
+    return out
+
+
 def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
@@ -156,7 +222,7 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 def secrets_of(text: str | None) -> tuple[int, int, int, str, str, int]:
     text = text or ""
     base = base_spans(text)
-    more = [(a, 3, b) for a, b in literal_spans(text) if not any(a < e and s < b for s, _, e in base)]
+    more = [(a, 3, b) for a, b in apart(literal_spans(text), base)]
     counts = Counter(kind for _, kind, _ in base)
     digest = hashlib.sha256(joined(base).encode()).hexdigest()
     return counts[0], counts[1], counts[2], digest, joined(sorted(base + more)), len(more)

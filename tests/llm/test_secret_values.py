@@ -1,5 +1,7 @@
 """Secrets under long names, in many parts, and in typed declarations."""
 
+import random
+import re
 import time
 
 from staymart.llm import secrets
@@ -41,3 +43,81 @@ def test_cost_stays_linear():
         secrets.literal_spans(text + " = 1")
     secrets.literal_spans("a0 = 'x'\n" + "".join(f"a{i + 1} = a{i} + a{i}\n" for i in range(20_000)) + "secret = a20000")
     assert time.time() - start < 30
+
+
+def one_name_many_constants(n):
+    """A constant of ``n`` parts that reaches ``n`` names, each with a part of its own."""
+    text = "c = " + " + ".join(f"'q8Zr$tLw{i}'" for i in range(n)) + "\n"
+    return text + "".join(f"user_token{i} = c\nauth_token{i} = c + 'zW3$kP0q{i}'\n" for i in range(n))
+
+
+def alternating(n):
+    return "".join(f"password = abcdefghijkl{i}\npassphrase = 'q8Zr$tLw92{i}'\n" for i in range(n))
+
+
+def counted(monkeypatch, text):
+    """How often looks are put together and values gone through."""
+    steps = [0]
+
+    def merged(one, other, real=secrets.merged):
+        steps[0] += 1
+        return real(one, other)
+
+    class Counting(secrets.Value):
+        __slots__ = ()
+
+        def __getattribute__(self, name):
+            if name == "parts":
+                steps[0] += 1
+            return super().__getattribute__(name)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(secrets, "merged", merged)
+        patch.setattr(secrets, "Value", Counting)
+        secrets.literal_spans(text)
+    return steps[0]
+
+
+def test_steps_grow_with_the_text(monkeypatch):
+    for make in (one_name_many_constants, alternating):
+        few, many = counted(monkeypatch, make(200)), counted(monkeypatch, make(800))
+        assert many < 5 * few
+
+
+def test_large_texts_of_many_assignments():
+    start = time.time()
+    n, _, _, _, _, more = secrets.secrets_of(alternating(60_000))  # 4.7 MB
+    assert (n, more) == (60_000, 60_000)
+    assert len(secrets.literal_spans(one_name_many_constants(10_000))) == 20_000
+    assert time.time() - start < 60
+
+
+def slow_literals(text):
+    """Constants written out as lists of literals, spans compared with every base span."""
+    constants, found = {}, set()
+    for name, parts in secrets.assignments(text):
+        pieces = []
+        for start, end, word, identifier in parts:
+            pieces += constants[word] if identifier and word in constants else [(start, end, word)]
+        constants[name] = pieces
+        whole = "".join(p[2] for p in pieces)
+        plain = not any(re.search(r"\s", p[2]) or secrets.PLACEHOLDER.search(p[2]) for p in pieces)
+        score = secrets.name_score(name)
+        if score >= 2.5 and score + secrets.Look(secrets.Counter(whole), plain).score() >= secrets.LEAST_SCORE:
+            found |= {(a, b) for a, b, _ in pieces if b > a}
+    base = secrets.base_spans(text)
+    return {(a, b) for a, b in found if not any(a < e and s < b for s, _, e in base)}
+
+
+def test_literals_equal_a_slow_version():
+    rng = random.Random(8)
+    names = ["a", "b", "host", "token", "db_pwd", "apiKey", "secret", "passphrase", "x.private_key"]
+    values = ["'q8Zr$tLw92Kp'", '"hunter2Xyz"', "abcdefghijklmn123", "'a b'", "'changeme'", "42", "''", "deadbeefdeadbeef01"]
+    for _ in range(300):
+        rows = []
+        for _ in range(rng.randrange(12)):
+            parts = " + ".join(rng.choice(names[:4] + values) for _ in range(rng.randint(1, 3)))
+            rows.append(f"{rng.choice(names)} {rng.choice('=:')} {parts}")
+        text = "\n".join(rows)
+        spans = secrets.literal_spans(text)
+        assert set(secrets.apart(spans, secrets.base_spans(text))) == slow_literals(text), text

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from staymart.scratch import stage
+
 #: Rows and characters that a scan of texts holds at a time; a longer text comes alone.
 SLICE_ROWS, SLICE_CHARS = 512, 8_000_000
 
@@ -84,6 +85,12 @@ def to_arrow(schema: T.StructType) -> pa.Schema:
 
 def stage_text(df: DataFrame, folder: str, name: str) -> DataFrame:
     """``stage`` for tables that hold texts, which zstd makes about a third smaller."""
-    path = f"{folder}/{name}-{uuid.uuid4().hex[:8]}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stage(df, folder, name, "zstd")
+
+
+def free_name(docs: DataFrame, wish: str) -> str:
+    """``wish``, lengthened until no column of ``docs`` has that name."""
+    taken = {c.lower() for c in docs.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish

@@ -183,6 +183,7 @@ def vector_groups(
     threshold: float = 0.54,
     least: int = 48,
     block_rows: int = 256,
+    folder: str | None = None,
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` per row of ``vectors(vec_id, embedding, label)``.
 
@@ -193,7 +194,7 @@ def vector_groups(
     is the smallest ``vec_id`` reached. A null id forms no name of a group with others.
     Other columns do not matter; an empty table gives no rows.
     """
-    folder = scratch_folder(vectors.sparkSession)
+    folder = folder or scratch_folder(vectors.sparkSession)
     rows = vectors.select(
         "vec_id", F.col("label").cast("int").alias("label"), F.col("embedding").alias("vector")
     )

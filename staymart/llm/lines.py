@@ -415,7 +415,7 @@ class Found:
     folder: str
 
 
-def repeated_lines(docs: DataFrame) -> Found:
+def repeated_lines(docs: DataFrame, folder: str | None = None) -> Found:
     """Every occurrence of a line but its first, and the first one, too, if the line is within
     ``EDITS`` of a smaller one that stays.
 
@@ -423,7 +423,7 @@ def repeated_lines(docs: DataFrame) -> Found:
     stored here, then by line number. ``dropped`` has ``row, pos`` of the occurrence and
     ``first_row, first_doc_id, first_pos`` of what stays in its place.
     """
-    folder = scratch_folder(docs.sparkSession)
+    folder = folder or scratch_folder(docs.sparkSession)
     held = stage_text(docs.withColumn("row", F.monotonically_increasing_id()), folder, "held")
     lines = numbered_lines(held)
     classes = stage(lines.groupBy("h1", "h2").agg(F.min(place_of()).alias("first"), F.count("*").alias("n")), folder, "classes")
@@ -464,7 +464,7 @@ def per_row(places: DataFrame, name: str) -> DataFrame:
     return places.groupBy("row").agg(F.array_sort(F.collect_list(place)).alias(name))
 
 
-def line_report(docs: DataFrame) -> DataFrame:
+def line_report(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """``doc_id, n_lines, n_dropped, dropped, n_short, short`` per row of ``docs``.
 
     ``dropped`` lists the lines (from 0) that repeat a line elsewhere, by number, each with
@@ -472,7 +472,7 @@ def line_report(docs: DataFrame) -> DataFrame:
     line. Short and blank lines are never dropped; ``short`` lists those with a word that
     repeat a line elsewhere exactly. An empty table gives no rows.
     """
-    found = repeated_lines(docs.select("doc_id", "text"))
+    found = repeated_lines(docs.select("doc_id", "text"), folder)
     n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long")
     rows = found.held.select("row", "doc_id", n_lines.alias("n_lines"))
     rows = rows.join(per_row(found.dropped, "dropped"), "row", "left").join(per_row(short_repeats(found), "short"), "row", "left")
@@ -506,17 +506,19 @@ def copied_rows(found: Found, dropped: DataFrame) -> DataFrame:
     return pairs.where(F.size(F.array_except("short", "short_held")) == 0).select("row").distinct()
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """``docs`` with repeated lines taken out of ``text``, other columns as they are, but for
     ``n_chars``, if there is one, which is the new length where the text has changed.
 
     A document that lost lines is left out if fewer than ``LEAST_WORDS`` words are left, so
     none, or if it is a copy with only short lines left (``copied_rows``). Other documents
-    stay with what is left, also short and empty ones that lost nothing.
+    stay with what is left, also short and empty ones that lost nothing. A null text is an
+    empty one and stays null; repeated rows repeat each other's lines, so the first of them
+    stays. Columns of any name are kept; an empty table gives no rows.
     """
     names = {c: f"__{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
     plain = docs.select("doc_id", "text", *[F.col(c).alias(n) for c, n in names.items()])
-    found = repeated_lines(plain)
+    found = repeated_lines(plain, folder)
     dropped = stage(found.dropped.select("row", "pos", "first_row"), found.folder, "dropped")
     per = dropped.groupBy("row").agg(F.array_sort(F.collect_list("pos")).alias("cuts"))
     rows = found.held.join(per, "row", "left").withColumn("__lines", F.split("text", "\n"))

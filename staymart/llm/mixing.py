@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from staymart.llm.common import WORD, scan, utf8
+from staymart.llm.common import free_name, scan, utf8
 from staymart.scratch import scratch_folder, stage
 
 #: Weights of sources in the order of their names, repeated; null comes last.
@@ -81,12 +81,19 @@ def offset(source: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(name), 1, 5), 16, 10).cast("long") / F.lit(float(1 << 20))
 
 
+def spread(doc_id: Column, size: Column) -> Column:
+    """32 bits by which rows are dealt to slots, whatever their ids have in common. Rows of one
+    id and one size, null ids too, come together: they are ties."""
+    name = F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("n")), size.cast("string"))
+    return F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("long")
+
+
 def placed(sizes: DataFrame, target: DataFrame, seed: int = 0, slot_rows: int = SLOT_ROWS) -> DataFrame:
     """``sizes`` (a stored table) with ``source_size``, ``target`` and ``copies``."""
     n = sizes.count()
     slots = max(1, -(-n // slot_rows))
     rows = sizes.withColumns(
-        {"bin": size_bin(F.col("size")), "slot": F.coalesce(F.pmod("doc_id", F.lit(slots)), F.lit(0))}
+        {"bin": size_bin(F.col("size")), "slot": F.pmod(spread(F.col("doc_id"), F.col("size")), F.lit(slots))}
     )
     one = F.coalesce("source", F.lit("")), F.col("source").isNull()
     rows = rows.withColumns({"name": one[0], "unnamed": one[1]})
@@ -109,13 +116,13 @@ def placed(sizes: DataFrame, target: DataFrame, seed: int = 0, slot_rows: int =
     return rows.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"))
 
 
-def mixture(docs: DataFrame, seed: int = 0, slot_rows: int = SLOT_ROWS) -> DataFrame:
+def mixture(docs: DataFrame, seed: int = 0, slot_rows: int = SLOT_ROWS, folder: str | None = None) -> DataFrame:
     """``doc_id, size, source_size, target, taken, copies`` per row of ``docs``.
 
     ``taken`` is ``copies * size``; reruns agree. Ties of size go by ``doc_id``; repeated rows
     are rows of their own. A null source is a source; an empty table gives no rows.
     """
-    folder = scratch_folder(docs.sparkSession)
+    folder = folder or scratch_folder(docs.sparkSession)
     sizes = stage(sized(docs), folder, "sizes")
     out = placed(sizes, targets(sizes), seed, slot_rows)
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
@@ -142,7 +149,7 @@ goals AS (
   FROM ordered),
 ranked AS (
   SELECT doc_id, source, size, row_number() OVER (PARTITION BY source
-    ORDER BY CAST(floor(8 * log2(1 + size)) AS INTEGER), coalesce(((doc_id % k) + k) % k, 0), size, doc_id ASC NULLS LAST) AS place
+    ORDER BY CAST(floor(8 * log2(1 + size)) AS INTEGER), CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'n') || ':' || CAST(size AS VARCHAR)), 1, 8) AS BIGINT) % k, size, doc_id ASC NULLS LAST) AS place
   FROM sizes, slots),
 shares AS (
   SELECT r.*, g.source_size, g.target, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0 END AS each,
@@ -155,15 +162,21 @@ FROM shares
 """
 
 
-def repeated(docs: DataFrame, seed: int = 0, slot_rows: int = SLOT_ROWS) -> DataFrame:
-    """The rows of ``docs``, each as often as the mixture takes it, with all their columns."""
-    folder = scratch_folder(docs.sparkSession)
-    held = stage(docs.withColumn("__row", F.monotonically_increasing_id()), folder, "docs")
+def repeated(docs: DataFrame, seed: int = 0, slot_rows: int = SLOT_ROWS, folder: str | None = None) -> DataFrame:
+    """The rows of ``docs``, each as often as the mixture takes it, with all their columns.
+
+    Rows are told apart by a number of their own, so null and repeated ids and repeated rows are
+    rows like any other; ties of size go by that number. A null text has size 0, a null source
+    is a source. Columns of any name are kept; an empty table gives no rows.
+    """
+    folder = folder or scratch_folder(docs.sparkSession)
+    row, times = free_name(docs, "__row"), free_name(docs, "__copies")
+    held = stage(docs.withColumn(row, F.monotonically_increasing_id()), folder, "docs")
     counted = scan(
         held,
-        ["__row", "source", "text"],
+        [row, "source", "text"],
         lambda part: {
-            "doc_id": part["__row"],
+            "doc_id": part[row],
             "source": part["source"],
             "size": [len(utf8(x).split()) for x in part["text"]],
         },
@@ -171,6 +184,6 @@ def repeated(docs: DataFrame, seed: int = 0, slot_rows: int = SLOT_ROWS) -> Data
     )
     sizes = stage(counted, folder, "sizes")
     taken = placed(sizes, targets(sizes), seed, slot_rows).where("copies > 0")
-    copies = taken.select(F.col("doc_id").alias("__row"), F.col("copies").alias("__copies"))
-    each = held.join(copies, "__row").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies")))
+    copies = taken.select(F.col("doc_id").alias(row), F.col("copies").alias(times))
+    each = held.join(copies, row).select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
     return each.select(*docs.columns)

@@ -48,7 +48,11 @@ def judged(docs: DataFrame, model: Trees, least: float = 0.5) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Trees, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns, in one pass."""
+    """The rows of ``docs`` that the rules keep, with all their columns, in one pass.
+
+    A null or empty text has no words, so it goes. Repeated rows are judged each, and alike;
+    columns of any name are kept; an empty table gives no rows.
+    """
 
     def over(batches):
         import pyarrow as pa

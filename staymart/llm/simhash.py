@@ -22,7 +22,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from staymart.llm.common import in_order, row_of, scan, utf8
+from staymart.llm.common import free_name, in_order, row_of, scan, utf8
 from staymart.llm.components import connected_components
 from staymart.scratch import scratch_folder, stage
 
@@ -209,7 +209,7 @@ def near_links(fps: DataFrame, folder: str, parts: int = 3, most: int = 256) ->
     return pairs.union(links.where("a <> b"))
 
 
-def simhash_groups(docs: DataFrame, parts: int = 3, most: int = 256) -> DataFrame:
+def simhash_groups(docs: DataFrame, parts: int = 3, most: int = 256, folder: str | None = None) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` per row of ``docs``.
 
     Null text is an empty one; documents without words share fingerprint zero and are one
@@ -218,7 +218,7 @@ def simhash_groups(docs: DataFrame, parts: int = 3, most: int = 256) -> DataFram
     rows come back as often as they are given, other columns do not matter, an empty table
     gives none.
     """
-    folder = scratch_folder(docs.sparkSession)
+    folder = folder or scratch_folder(docs.sparkSession)
     fps = stage(fingerprints(docs), folder, "fingerprints")
     nodes = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), folder, "nodes")
     groups = connected_components(near_links(nodes, folder, parts, most), folder)
@@ -233,21 +233,23 @@ def simhash_groups(docs: DataFrame, parts: int = 3, most: int = 256) -> DataFram
     )
 
 
-def first_of_groups(docs: DataFrame) -> DataFrame:
+def first_of_groups(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """The rows of ``docs`` less all but one of each group, with all their columns.
 
     The row of smallest id stays; of repeated rows with that id, one; of a group without ids,
-    one. ``docs`` is written once with a row number, so that a row has one identity.
+    one. A null text counts as an empty one. ``docs`` is written once with a row number, so that
+    a row has one identity. Columns of any name are kept; an empty table gives no rows.
     """
-    folder = scratch_folder(docs.sparkSession)
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    folder = folder or scratch_folder(docs.sparkSession)
+    row = free_name(docs, "__row")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
     held = stage(numbered, folder, "docs")
     fps = stage(
         scan(
             held,
-            ["__row", "doc_id", "text"],
+            [row, "doc_id", "text"],
             lambda part: {
-                "row": part["__row"],
+                "row": part[row],
                 "doc_id": part["doc_id"],
                 "fp": [fingerprint(x) for x in part["text"]],
             },
@@ -260,5 +262,5 @@ def first_of_groups(docs: DataFrame) -> DataFrame:
     groups = connected_components(near_links(nodes, folder), folder)
     placed = nodes.join(groups, nodes.fp == groups.node, "left")
     keep = placed.groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("first").alias("first"))
-    rows = keep.select(row_of(F.col("first")).alias("__row"))
-    return held.join(rows, "__row", "left_semi").select(*docs.columns)
+    rows = keep.select(row_of(F.col("first")).alias(row))
+    return held.join(rows, row, "left_semi").select(*docs.columns)

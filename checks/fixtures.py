@@ -18,7 +18,7 @@ USD_RATES = {currency: float(rate) for currency, rate in literals.RATES}
 ALL_RATES = USD_RATES | {literals.XTS_RATE[0]: float(literals.XTS_RATE[1])}
 
 # All listed countries, then one that is not.
-COUNTRIES = " ".join([*literals.REGION.values(), "ZZ"]).split()
+COUNTRIES = [*literals.REGION, "ZZ"]
 
 # The tables' order dates run from 1995 into 2001. The year 1998 is in both parts.
 EARLY_END = dt.date(1998, 12, 31)

@@ -34,8 +34,8 @@ def checked(value: Column, kind: str | T.DataType, what: str) -> Column:
     """``value`` as another type. A value that is not of that type fails the query,
     whatever the session's ANSI setting; NULL stays NULL."""
     told = F.concat(F.lit(f"not {what}: "), value.cast("string"))
-    found = value.try_cast(kind)
-    return F.when(value.isNotNull() & found.isNull(), F.raise_error(told).cast(kind)).otherwise(found)
+    # only a NULL result goes on to the second branch, so good values are computed once
+    return F.coalesce(value.try_cast(kind), F.when(value.isNotNull(), F.raise_error(told).cast(kind)))
 
 
 def as_date(text: Column, lenient: bool = False) -> Column:

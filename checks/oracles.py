@@ -39,8 +39,8 @@ def rates(entries: list[tuple[str, str]]) -> str:
 
 FX = rates(RATES)
 ST, DV = values(STATUS, "st"), values(DEVICE, "dv")
-RG = values([(c, region) for region, codes in REGION.items() for c in codes.split()], "rg")
-CODES = " ".join([*REGION.values(), "ZZ"])
+RG = values(list(REGION.items()), "rg")
+CODES = " ".join([*REGION, "ZZ"])
 DEALT = f"""dealt AS (SELECT *, list_extract(string_split('{CODES}', ' '),
     CAST(CAST(transaction_id AS BIGINT) % {len(CODES.split())} + 1 AS INTEGER)) AS code FROM raw)"""
 
@@ -189,6 +189,37 @@ ORACLES = {
       SELECT snapshot_id, committed_at, operation FROM r WHERE newness > 5""",
     "orphan_files": f"{PARTS} SELECT * FROM s",
 }
+ORACLES |= {
+    "rejected_lines": f"""WITH {RAW} SELECT transaction_id,
+      CAST(transaction_id AS BIGINT) % 17 = 0 AS rejected FROM raw""",
+    "merge_scattered": f"""WITH {RAW}, {BOOK},
+      s AS (SELECT * REPLACE ('X' AS status) FROM book WHERE CAST(transaction_id AS BIGINT) % 50 = 1),
+      n AS (SELECT * REPLACE (transaction_id || '-new' AS transaction_id) FROM book
+        WHERE CAST(transaction_id AS BIGINT) % 50 = 2)
+      SELECT * FROM s UNION ALL SELECT * FROM n
+      UNION ALL SELECT * FROM book WHERE CAST(transaction_id AS BIGINT) % 50 <> 1""",
+    "merge_filter_counts": f"""WITH {RAW} SELECT count(*) AS held, count(*) AS held_and_passing,
+      true AS most_are_cut FROM raw WHERE CAST(transaction_id AS BIGINT) % 50 = 1""",
+    "merge_bucketed_table": f"""WITH {RAW}, {BOOK},
+      k AS (SELECT * REPLACE (CASE WHEN CAST(transaction_id AS BIGINT) % 3 > 0
+        THEN transaction_id END AS transaction_id) FROM book),
+      t AS (SELECT * FROM k WHERE check_in_date <= DATE '1998-12-31'),
+      s AS (SELECT * REPLACE ('X' AS status) FROM k WHERE check_in_date >= DATE '1998-01-01')
+      SELECT * FROM s UNION ALL SELECT * FROM t
+      WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.transaction_id = t.transaction_id)""",
+    "content_compare": f"""WITH {RAW}, {BOOK},
+      k AS (SELECT *, CAST(transaction_id AS BIGINT) % 100 AS rest FROM book),
+      l AS (SELECT * EXCLUDE (rest) FROM k),
+      r AS (SELECT * EXCLUDE (rest) REPLACE (CASE WHEN rest = 5 THEN 'X' ELSE device END AS device)
+        FROM k WHERE rest <> 3 UNION ALL SELECT * EXCLUDE (rest) FROM k WHERE rest = 7),
+      d AS (SELECT transaction_id FROM (SELECT * FROM l EXCEPT ALL SELECT * FROM r)
+        UNION SELECT transaction_id FROM (SELECT * FROM r EXCEPT ALL SELECT * FROM l))
+      SELECT transaction_id,
+        (SELECT count(*) FROM l WHERE l.transaction_id = d.transaction_id) AS left_rows,
+        (SELECT count(*) FROM r WHERE r.transaction_id = d.transaction_id) AS right_rows FROM d""",
+    "rows_processed": f"""{PARTS}, merged AS (SELECT transaction_id FROM s UNION SELECT transaction_id FROM t)
+      SELECT (SELECT count(*) FROM s) AS moved, count(*) AS stored FROM merged""",
+}
 ORACLES["revenue_usd_udf"] = ORACLES["revenue_usd"]
 for same_rows in ("merge_rerun", "external_upsert", "published_current", "compact_files"):
     ORACLES[same_rows] = MERGED

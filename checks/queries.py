@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,14 +12,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks import fixtures as fx
 from staymart.functions.fixed_values import REGION
 from staymart.operators import canonical as can
-from staymart.operators import history, inspection, merge
+from staymart.operators import history, inspection, key_filter, merge
 from staymart.plans import maintenance
 from staymart.plans.booking import run_booking
 from staymart.plans.sync import run_sync
-from staymart.scratch import scratch_folder
+from staymart.scratch import scratch_folder, stage, stage_counted
 from staymart.sources import rates as rate_source
 from staymart.sources import tracking
-from staymart.sources.jsonl import read_reservations
+from staymart.sources.bucketed import merge_bucketed, write_bucketed
+from staymart.sources.jsonl import read_checked, read_reservations
 from staymart.sources.lookups import read_lookup
 from staymart.sources.versions import publish_merge, read_snapshot, write_data
 
@@ -89,6 +91,21 @@ def jsonl_mixed_amounts(spark, sf_dir):
     return can.with_types(can.flatten(back)).select("transaction_id", "revenue")
 
 
+@query
+def rejected_lines(spark, sf_dir):
+    """JSON lines of which one in seventeen is cut short: which are read, which rejected."""
+    path = f"{scratch_folder(spark)}/raw"
+    whole = fx.raw_records(spark, sf_dir).select("accommodations.reservation", F.to_json(F.struct("*")).alias("line"))
+    short = F.col("line").substr(F.lit(1), F.length("line") - F.col("reservation").cast("int") % 5 - 1)
+    cut = F.col("reservation").cast("bigint") % 17 == 0
+    whole.select(F.when(cut, short).otherwise(F.col("line")).alias("value")).write.text(path)
+    records, rejected = read_checked(spark, path)
+    named = F.regexp_extract("line", '"reservation":"([0-9]+)"', 1)
+    return can.flatten(records).select("transaction_id", F.lit(False).alias("rejected")).unionByName(
+        rejected.select(named.alias("transaction_id"), F.lit(True).alias("rejected"))
+    )
+
+
 # --- fields ------------------------------------------------------------------
 
 
@@ -176,14 +193,66 @@ def bookings_canonical(spark, sf_dir):
 
 @query
 def merge_upsert(spark, sf_dir):
-    rows = fx.canonical(spark, sf_dir)
-    return merge.merge_upsert(fx.early(rows), fx.late(rows))
+    folder = scratch_folder(spark)
+    rows = stage(fx.canonical(spark, sf_dir), folder, "rows")
+    return merge.merge_upsert(fx.early(rows), fx.late(rows), folder=folder)
+
+
+def scattered(rows: DataFrame) -> DataFrame:
+    """Every fiftieth reservation, changed, and as many new ones: keys all over the range."""
+    number = F.col("transaction_id").cast("bigint")
+    some = rows.filter(number % 50 == 1).withColumn("status", F.lit("X"))
+    new = rows.filter(number % 50 == 2).withColumn("transaction_id", F.concat("transaction_id", F.lit("-new")))
+    return some.unionByName(new)
+
+
+@query
+def merge_scattered(spark, sf_dir):
+    """A merge whose target rows are cut by a filter of the source's keys."""
+    folder = scratch_folder(spark)
+    rows = stage(fx.canonical(spark, sf_dir), folder, "rows")
+    return merge.merge_upsert(rows, scattered(rows), folder=folder, bloom=True)
+
+
+@query
+def merge_filter_counts(spark, sf_dir):
+    """How many target rows have a key of the source, and that all of these pass the filter."""
+    folder = scratch_folder(spark)
+    rows = stage(fx.canonical(spark, sf_dir), folder, "rows")
+    source = scattered(rows)
+    built = key_filter.key_filter(source.select("transaction_id"), "transaction_id", folder)
+    tested = key_filter.with_test(rows.select("transaction_id"), "transaction_id", built, "passes")
+    held = source.select("transaction_id", F.lit(True).alias("held"))
+    both = tested.join(held, "transaction_id", "left")
+    return both.agg(
+        F.count_if("held").alias("held"),
+        F.count_if(F.col("held") & F.col("passes")).alias("held_and_passing"),
+        (F.count_if("passes") < 0.1 * F.count("*")).alias("most_are_cut"),
+    )
+
+
+@query
+def merge_bucketed_table(spark, sf_dir):
+    """The merge of two periods into a bucketed table, of which a third has no key."""
+    folder = scratch_folder(spark)
+    rows = stage(unkeyed(fx.canonical(spark, sf_dir)), folder, "rows")
+    name = f"staymart_{uuid.uuid4().hex}"
+    table = write_bucketed(fx.early(rows), name, f"{folder}/table", 8)
+    try:
+        return stage(merge_bucketed(table, fx.late(rows), folder), folder, "merged")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # the catalog's entry; the files are the folder's
+
+
+def unkeyed(rows: DataFrame) -> DataFrame:
+    number = F.col("transaction_id").cast("bigint")
+    return rows.withColumn("transaction_id", F.when(number % 3 > 0, F.col("transaction_id")))
 
 
 @query
 def merge_rerun(spark, sf_dir):
-    rows = fx.canonical(spark, sf_dir)
     folder = scratch_folder(spark)
+    rows = stage(fx.canonical(spark, sf_dir), folder, "rows")
     once = merge.merge_upsert(fx.early(rows), fx.late(rows), folder=folder)
     return merge.merge_upsert(once, fx.late(rows), folder=folder)
 
@@ -198,9 +267,10 @@ def merge_actions(spark, sf_dir):
 def merge_repeated_keys(spark, sf_dir):
     """A third of the rows has no key; some target keys and some new keys are held
     by several rows."""
-    rows = fx.canonical(spark, sf_dir)
+    folder = scratch_folder(spark)
+    rows = stage(fx.canonical(spark, sf_dir), folder, "rows")
     number = F.col("transaction_id").cast("bigint")
-    keyed = rows.withColumn("transaction_id", F.when(number % 3 > 0, F.col("transaction_id")))
+    keyed = unkeyed(rows)
 
     def repeat(part: DataFrame, times) -> DataFrame:
         copies = F.array_repeat(F.lit(0), F.coalesce(times, F.lit(1)))
@@ -209,13 +279,14 @@ def merge_repeated_keys(spark, sf_dir):
     target = repeat(fx.early(keyed), (1 + number % 2).cast("int"))
     is_new = F.col("check_in_date") > F.lit(fx.EARLY_END)
     source = repeat(fx.late(keyed), F.when(is_new, (1 + number % 2).cast("int")))
-    return merge.merge_upsert(target, source)
+    return merge.merge_upsert(target, source, folder=folder)
 
 
 @query
 def external_upsert(spark, sf_dir):
-    rows = fx.canonical(spark, sf_dir)
-    return merge.keyed_upsert(fx.early(rows), fx.late(rows))
+    folder = scratch_folder(spark)
+    rows = stage(fx.canonical(spark, sf_dir), folder, "rows")
+    return merge.keyed_upsert(fx.early(rows), fx.late(rows), folder=folder)
 
 
 # --- versioned data ----------------------------------------------------------
@@ -278,6 +349,26 @@ def dataset_compare(spark, sf_dir):
     return inspection.compare_datasets(fx.canonical(spark, sf_dir), flat(spark, sf_dir))
 
 
+@query
+def content_compare(spark, sf_dir):
+    """Which reservations differ from a copy in which some are gone, changed, or there twice."""
+    rows = fx.canonical(spark, sf_dir)
+    rest = F.col("transaction_id").cast("bigint") % 100
+    copy = rows.filter(rest != 3).withColumn("device", F.when(rest != 5, F.col("device")).otherwise("X"))
+    return inspection.compare_content(rows, copy.unionByName(rows.filter(rest == 7)), "transaction_id")
+
+
+@query
+def rows_processed(spark, sf_dir):
+    """Rows moved into a keyed store, counted while they are staged, and rows it then has."""
+    folder = scratch_folder(spark)
+    rows = fx.canonical(spark, sf_dir)
+    target = stage(fx.early(rows), folder, "target")
+    moved, n = stage_counted(fx.late(rows), folder, "moved")
+    stored = merge.keyed_upsert(target, moved, folder=folder)
+    return stored.agg(F.lit(n).cast("bigint").alias("moved"), F.count("*").alias("stored"))
+
+
 # --- history and sync --------------------------------------------------------
 
 
@@ -327,8 +418,9 @@ def sync_run(spark, sf_dir):
     def upsert(rows: DataFrame) -> int:
         merge.require_key(rows, "transaction_id")
         merge.require_unique_key(rows, "transaction_id")
+        rows, n = stage_counted(rows, folder, "moved")
         publish_merge(rows, store)
-        return rows.count()
+        return n
 
     rows = fx.canonical(spark, sf_dir)
     runs = []

@@ -19,6 +19,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from staymart.operators.key_filter import key_filter, passing
 from staymart.schemas import KEY
 from staymart.scratch import scratch_folder, stage
 
@@ -34,6 +35,7 @@ class Matches:
     pairs: DataFrame  # (key, columns beside it) per matched target row, written
     updates: DataFrame  # source rows, written; at most one per key of the target
     inserts: DataFrame  # source rows that match nothing
+    built: tuple[DataFrame, int] | None  # a filter of the source's keys, if one was wanted
 
 
 def keyless(df: DataFrame, key: str) -> DataFrame:
@@ -50,20 +52,32 @@ def key_copies(source: DataFrame, key: str) -> DataFrame:
 
 
 def find_matches(
-    target_keys: DataFrame, source: DataFrame, key: str, folder: str
+    target_keys: DataFrame,
+    source: DataFrame,
+    key: str,
+    folder: str,
+    bloom: bool = False,
+    unique: bool = False,
 ) -> Matches:
     """Splits ``source`` by whether ``target_keys`` has the key.
 
     ``target_keys`` is read for the key and whatever columns it has beside it. It
-    is cut to the source's key range first: a filter that Parquet row groups skip by.
+    is cut to the source's key range first: a filter that Parquet row groups skip by. With
+    ``bloom`` a filter of the source's keys cuts it further where keys are scattered: what does
+    not pass is not shuffled. ``unique`` refuses NULL and repeated keys, as a store with a
+    primary key does, by the same look at the written source.
 
     Unique source keys, the usual case, need two written tables. Repeated ones need
     three more, so that no join has many rows of one key on its unsplit side.
     """
     source = stage(source, folder, "source")
     copies = key_copies(source, key)
-    low, high, most = copies.agg(F.min(key), F.max(key), F.max("copies")).first()
+    low, high, most, n = copies.agg(F.min(key), F.max(key), F.max("copies"), F.count("*")).first()
     repeated = (most or 0) > 1
+    if unique and not keyless(source, key).isEmpty():
+        raise ValueError(f"rows to upsert have a NULL {key}")
+    if unique and repeated:
+        raise ValueError(f"rows to upsert have a {key} twice")
     if repeated:
         copies = stage(copies, folder, "copies")
         keys = copies.select(key, (F.col("copies") > 1).alias("ambiguous"))
@@ -71,6 +85,9 @@ def find_matches(
         keys = keyed(source, key).select(key, F.lit(False).alias("ambiguous"))
 
     in_range = target_keys.filter(F.col(key).between(F.lit(low), F.lit(high)))
+    built = key_filter(keyed(source, key).select(key), key, folder, n) if bloom else None
+    if built:
+        in_range = passing(in_range, key, built)
     pairs = stage(in_range.join(keys, key), folder, "pairs")
     matched = pairs.select(key).distinct()
     updates = source
@@ -83,37 +100,51 @@ def find_matches(
     inserts = keyless(source, key).unionByName(
         keyed(source, key).join(matched, key, "left_anti")
     )
-    return Matches(pairs.drop("ambiguous"), updates, inserts)
+    return Matches(pairs.drop("ambiguous"), updates, inserts, built)
 
 
 def updated(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """``target`` with the rows whose key is in ``updates`` replaced from there.
+    """``target``, read once, with the rows whose key is in ``updates`` replaced from there.
 
-    Rows without a key skip the join. No key of ``target`` is in ``updates`` twice,
-    so every target row comes out once.
+    Rows without a key match nothing. They are dealt out by the partition they were read in,
+    so they do not come together. No key of ``target`` is in ``updates`` twice, so every target
+    row comes out once.
     """
     new = keyed(updates, key).select(
-        F.col(key).alias("__key"), F.struct(*(F.col(c) for c in target.columns)).alias("__new")
+        F.col(key).alias("__key"), F.lit(0).alias("__of"), F.struct(*(F.col(c) for c in target.columns)).alias("__new")
     )
-    kept_or_new = keyed(target, key).join(new, F.col(key) == F.col("__key"), "left")
+    dealt = F.when(F.col(key).isNull(), F.spark_partition_id() + 1).otherwise(0)
+    old = target.withColumn("__part", dealt)
+    kept_or_new = old.join(new, (F.col(key) == F.col("__key")) & (F.col("__part") == F.col("__of")), "left")
     hit = F.col("__new").isNotNull()
     columns = [
         F.when(hit, F.col("__new")[c]).otherwise(F.col(c)).alias(c) for c in target.columns
     ]
-    return keyless(target, key).unionByName(kept_or_new.select(*columns))
+    return kept_or_new.select(*columns)
 
 
 def merge_upsert(
-    target: DataFrame, source: DataFrame, key: str = KEY, folder: str | None = None
+    target: DataFrame,
+    source: DataFrame,
+    key: str = KEY,
+    folder: str | None = None,
+    bloom: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """The rows of ``target`` after merging ``source`` into it.
 
-    ``target`` is only read, and twice: for its keys, and in the returned frame.
+    ``target`` is only read, and twice: for its keys, and in the returned frame. Where that is
+    dear, as for a frame that is itself a join, hand in a written one. ``bloom`` is for a small
+    share of scattered keys in a large target: rows whose key does not pass a filter of the
+    source's keys go around both joins, for one more scan.
     """
     folder = folder or scratch_folder(target.sparkSession)
     source = conform(source, target)
-    found = find_matches(keyed(target, key).select(key), source, key, folder)
-    return updated(target, found.updates, key).unionByName(found.inserts)
+    found = find_matches(keyed(target, key).select(key), source, key, folder, bloom, unique)
+    if found.built is None:
+        return updated(target, found.updates, key).unionByName(found.inserts)
+    hit, around = (passing(target, key, found.built, side) for side in (True, False))
+    return around.unionByName(updated(hit, found.updates, key)).unionByName(found.inserts)
 
 
 def conform(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -170,5 +201,4 @@ def keyed_upsert(
 ) -> DataFrame:
     """``merge_upsert`` under the rules of a store with a primary key."""
     require_key(source, key)
-    require_unique_key(source, key)
-    return merge_upsert(target, source, key, folder)
+    return merge_upsert(target, source, key, folder, unique=True)

@@ -102,12 +102,16 @@ def discard(uri: str) -> None:
         warnings.warn(f"intermediate tables are left in {uri}: {error}", stacklevel=2)
 
 
+def with_scheme(folder: str) -> str:
+    """A scratch folder as a full URI; without a scheme it is a local one."""
+    return folder if ":" in folder else f"file:{folder}"
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[str]:
     """A folder for intermediate tables that is gone afterwards. Frames that read from
     it must have been used by then."""
-    folder = scratch_folder(spark)
-    full = folder if ":" in folder else f"file:{folder}"
+    full = with_scheme(scratch_folder(spark))
     try:
         yield full
     finally:

@@ -43,6 +43,29 @@ def jdbc_read(
     return reader.options(**(options or {})).load()
 
 
+def hash_predicates(column: str, partitions: int, hashed: str = "hashtext({})") -> list[str]:
+    """Conditions by which a table is read in parallel along a text column, each row under
+    exactly one. ``hashed`` is the store's hash to a whole number; NULLs are in the first part.
+    """
+    if partitions < 1:
+        raise ValueError("partitions must be at least 1")
+    part = f"MOD(MOD({hashed.format(quoted(column))}, {partitions}) + {partitions}, {partitions})"
+    return [f"{part} = {i}" + (f" OR {quoted(column)} IS NULL" if i == 0 else "") for i in range(partitions)]
+
+
+def jdbc_read_by_text(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    split_on: str,
+    options: dict[str, str] | None = None,
+    partitions: int = 8,
+    hashed: str = "hashtext({})",
+) -> DataFrame:
+    """A table of the store, read in parallel along a text column."""
+    return spark.read.jdbc(url, table, predicates=hash_predicates(split_on, partitions, hashed), properties=options)
+
+
 def quoted(name: str) -> str:
     """A possibly schema-qualified identifier in double quotes."""
     return ".".join('"' + part.replace('"', '""') + '"' for part in name.split("."))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from staymart.functions.fields import as_date
-from staymart.schemas import RAW_RECORD
+from staymart.schemas import RAW_RECORD, TEXT
 
 Bound = str | dt.date | None
+CORRUPT = "_corrupt_record"
 
 
 def read_reservations(
@@ -32,6 +33,29 @@ def read_reservations(
     return within_window(records, updated_from, updated_to, lenient_dates)
 
 
+def read_checked(
+    spark: SparkSession,
+    path: str | list[str],
+    updated_from: Bound = None,
+    updated_to: Bound = None,
+    lenient_dates: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """The records that ``read_reservations`` gives, less those of rejected lines, and the
+    rejected lines: (file, line).
+
+    A line is rejected if it is not a JSON object of the schema's shape. Blank lines are
+    neither. Whatever its window, a rejected line is told, as its date is not known.
+    """
+    schema = T.StructType([*RAW_RECORD, T.StructField(CORRUPT, TEXT)])
+    lines = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    bad = F.col(CORRUPT).isNotNull()
+    records = within_window(lines.filter(~bad).drop(CORRUPT), updated_from, updated_to, lenient_dates)
+    # Spark wants a column of the record itself to be read beside the corrupt one
+    read = F.col("updated").isNull() | (F.length("updated") >= 0)
+    rejected = lines.filter(bad & read).select(F.col("_metadata.file_path").alias("file"), F.col(CORRUPT).alias("line"))
+    return records, rejected
+
+
 def bound(day: str | dt.date) -> Column:
     return as_date(F.lit(str(day)))
 

@@ -50,7 +50,8 @@ def hash_predicates(column: str, partitions: int, hashed: str = "hashtext({})")
     if partitions < 1:
         raise ValueError("partitions must be at least 1")
     part = f"MOD(MOD({hashed.format(quoted(column))}, {partitions}) + {partitions}, {partitions})"
-    return [f"{part} = {i}" + (f" OR {quoted(column)} IS NULL" if i == 0 else "") for i in range(partitions)]
+    here = f"{quoted(column)} IS NOT NULL AND {part}"  # whatever the hash makes of NULL
+    return [f"{here} = {i}" + (f" OR {quoted(column)} IS NULL" if i == 0 else "") for i in range(partitions)]
 
 
 def jdbc_read_by_text(

@@ -2,7 +2,9 @@ import math
 
 import numpy as np
 
-from staymart.llm.embeddings import passed, product_code, unit_rows, vector_groups
+import pytest
+
+from staymart.llm.embeddings import code_for, pairs_within, passed, product_code, unit_rows, vector_groups
 from tests.llm.test_simhash import groups
 
 SCHEMA = "vec_id long, embedding array<float>, label int, n_links string"
@@ -85,11 +87,57 @@ def test_filters_are_those_over_the_threshold():
         assert sorted(wanted) == got.tolist()
 
 
-def test_recall_at_the_bound():
+@pytest.mark.parametrize("vectors", [1_000, 1_000_000, 30_000_000])
+def test_recall_at_the_bound(vectors):
+    """At every size; and so few of these vectors meet that each meets a bounded number."""
     rng = np.random.default_rng(5)
-    a = unit_rows(rng.standard_normal((400, 64)))
-    z = rng.standard_normal((400, 64))
+    a = unit_rows(rng.standard_normal((300, 64)))
+    z = rng.standard_normal((300, 64))
     z = unit_rows(z - (z * a).sum(1, keepdims=True) * a)
     b = 0.93 * a + math.sqrt(1 - 0.93**2) * z
-    pairs = zip(passed(a, 4, 40, 0.54, 48), passed(b, 4, 40, 0.54, 48))
-    assert np.mean([len(np.intersect1d(x, y)) > 0 for x, y in pairs]) >= 0.95
+    code, threshold, least = code_for(vectors, 4)
+    assert code**4 >= 256 * vectors
+    one, two = passed(a, 4, code, threshold, least), passed(b, 4, code, threshold, least)
+    assert np.mean([len(np.intersect1d(x, y)) > 0 for x, y in zip(one, two)]) >= 0.95
+    taken = np.mean([len(x) for x in one])
+    assert taken <= 1.1 * least  # vectors times filters taken, over all filters, is what a filter holds
+    assert vectors * taken / code**4 <= 1
+
+
+def test_pairs_are_of_different_balls():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        rows = sorted((int(g), int(b)) for g, b in rng.integers(0, 4, (rng.integers(0, 20), 2)))
+        group, ball = (np.array([r[k] for r in rows], int) for k in (0, 1))
+        split, side = group == 1, rng.integers(0, 2, len(rows))
+        i, j = pairs_within(group, ball, split, side)
+        wanted = [
+            (x, y)
+            for y in range(len(rows))
+            for x in range(y)
+            if group[x] == group[y] and ball[x] != ball[y] and (not split[x] or side[x] != side[y])
+        ]
+        assert sorted(zip(i.tolist(), j.tolist())) == sorted(wanted)
+
+
+@pytest.mark.parametrize("noise", [0.08, 0.13, 0.19, 0.25])
+def test_dense_groups_equal_all_pairs(spark, noise):
+    """From one ball with all vectors, over balls with stragglers, to links that hold in part."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for label in (0, 1):
+        base = rng.standard_normal(64)
+        for _ in range(120):
+            rows.append((len(rows), [float(x) for x in np.float32(base + noise * rng.standard_normal(64))], label, "x"))
+        rows += [(len(rows) + k, *rows[-1][1:]) for k in range(3)]
+    links = brute([r[:3] for r in rows])
+    degree = {}
+    for pair in links:
+        for i in pair:
+            degree[i] = degree.get(i, 0) + 1
+    wanted = groups([r[0] for r in rows], links)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = {r.vec_id: r for r in vector_groups(frame, block_rows=16).collect()}
+    assert all(r.n_links <= degree.get(i, 0) for i, r in got.items())
+    assert sum(r.n_links for r in got.values()) >= 0.99 * 2 * len(links)
+    assert {i: r.component_id for i, r in got.items()} == {i: wanted[i] for i in got}

@@ -215,13 +215,16 @@ def segment_keys(lines: DataFrame, classes: DataFrame, total: int, folder: str)
         # A column first, so that what keys have in common is computed once per line. Outer,
         # as Spark would else add a filter that the array, never empty, is not empty.
         rows = every.select(keys.alias("keys"), F.col("h1").alias(name))
-        return rows.select(F.explode_outer("keys").alias("key"), name).repartition("key").dropDuplicates(["key", name])
+        return rows.select(F.explode_outer("keys").alias("key"), name)
 
+    # Each task passes on so many lines per key only, as Spark limits ranks before it shuffles.
     place = F.row_number().over(Window.partitionBy("key").orderBy("q"))
-    first = keyed(index_keys(F.col("length")), "q").withColumn("place", place).where(F.col("place") <= CROWD + 1)
-    some = first.groupBy("key").agg(F.collect_list("q").alias("some"))
+    first = keyed(index_keys(F.col("length")), "q").distinct().withColumn("place", place).where(F.col("place") <= CROWD + 1)
+    # Written, so that a segment which many lines probe is split as a skewed join between scans.
+    some = stage(first.groupBy("key").agg(F.collect_list("q").alias("some")), folder, "some")
     probes = keyed(probe_keys(F.col("length")), "p").join(some, "key")
-    return stage(probes.where((F.size("some") > 1) | (F.get("some", F.lit(0)) != F.col("p"))), folder, "probes")
+    hits = probes.where((F.size("some") > 1) | (F.get("some", F.lit(0)) != F.col("p")))
+    return stage(hits.dropDuplicates(["key", "p"]), folder, "probes")
 
 
 def texts_and_marks(lines: DataFrame, ids: DataFrame) -> DataFrame:

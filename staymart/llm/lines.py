@@ -48,6 +48,9 @@ COMMON = 10_000
 MOST_BROADCAST = 1_000_000
 #: A key under which more lines are indexed is crowded: its pairs go by letter parities.
 CROWD = 16
+#: Keys that are hot are looked for among one line in so many, and dealt over so many slots.
+SHOWN = 64
+SLOTS = 1024
 #: Middles of up to so many letters go by variants (no more than about 300 of them).
 MIDDLE = 12
 BLANKS = " \t\x0b\x0c\r"
@@ -200,31 +203,50 @@ def within(pairs: DataFrame) -> DataFrame:
     return pairs.where(banded_distance("x", "y") <= EDITS)
 
 
+def hot_keys(every: DataFrame, total: int) -> DataFrame:
+    """``key`` of segments under which a part of the lines, chosen by hash, shows more than
+    ``CROWD`` lines and more than a thousandth of what it holds: some 3,000 keys at most.
+
+    Each is crowded by what was seen. A key that is missed goes the usual way.
+    """
+    part = every.where(F.pmod("h1", F.lit(SHOWN)) == 0).select(F.explode(index_keys(F.col("length"))).alias("key"), "h1").distinct()
+    least = max(CROWD, total // (1_000 * SHOWN))
+    return part.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > least).select("key")
+
+
 def segment_keys(lines: DataFrame, classes: DataFrame, total: int, folder: str) -> DataFrame:
-    """``key, p, some``: lines ``p`` that probe a key, with up to ``CROWD`` lines indexed there.
+    """``key, p, some, crowded``: lines ``p`` that probe a key, with the lines indexed there, or
+    without them if they are more than ``CROWD``.
 
-    Keys that only the line itself has are left out. One more than ``CROWD`` tells a crowded
-    key. A row per probe, however many lines are indexed under its key.
+    Keys that only the line itself has are left out. A row per probe, however many lines are
+    indexed under its key. Hot keys are dealt over ``SLOTS`` slots by the line: they are known
+    to be crowded, so nothing has to meet there. Other keys have one slot, the key itself.
     """
     common = F.broadcast(classes.where(F.col("n") > total / COMMON).select("h1", "h2"))
     rare = lines.join(common, ["h1", "h2"], "left_anti").select("h1", "line")
     once = lines.join(common, ["h1", "h2"]).groupBy("h1", "h2").agg(F.min("line").alias("line"))
     every = rare.union(once.select("h1", "line")).withColumn("length", F.char_length("line"))
+    hot = stage(hot_keys(every, total), folder, "hot").withColumn("hot", F.lit(True))
 
     def keyed(keys: Column, name: str) -> DataFrame:
         # A column first, so that what keys have in common is computed once per line. Outer,
         # as Spark would else add a filter that the array, never empty, is not empty.
-        rows = every.select(keys.alias("keys"), F.col("h1").alias(name))
-        return rows.select(F.explode_outer("keys").alias("key"), name)
-
-    # Each task passes on so many lines per key only, as Spark limits ranks before it shuffles.
-    place = F.row_number().over(Window.partitionBy("key").orderBy("q"))
-    first = keyed(index_keys(F.col("length")), "q").distinct().withColumn("place", place).where(F.col("place") <= CROWD + 1)
-    # Written, so that a segment which many lines probe is split as a skewed join between scans.
-    some = stage(first.groupBy("key").agg(F.collect_list("q").alias("some")), folder, "some")
-    probes = keyed(probe_keys(F.col("length")), "p").join(some, "key")
-    hits = probes.where((F.size("some") > 1) | (F.get("some", F.lit(0)) != F.col("p")))
-    return stage(hits.dropDuplicates(["key", "p"]), folder, "probes")
+        rows = every.select(keys.alias("keys"), F.col("h1").alias(name)).select(F.explode_outer("keys").alias("key"), name)
+        return rows.join(F.broadcast(hot), "key", "left").withColumn("hot", F.col("hot").isNotNull())
+
+    shift = F.pmod("p", F.lit(SLOTS))
+    place = F.row_number().over(Window.partitionBy("slot").orderBy("q"))
+    first = keyed(index_keys(F.col("length")), "q").where("NOT hot").select(F.col("key").alias("slot"), "q")
+    first = first.repartition("slot").dropDuplicates(["slot", "q"]).withColumn("place", place).where(F.col("place") <= CROWD + 1)
+    some = first.groupBy("slot").agg(F.collect_list("q").alias("some"))
+    slot = F.when(F.col("hot"), F.col("key").bitwiseXOR(shift)).otherwise(F.col("key")).alias("slot")
+    probes = keyed(probe_keys(F.col("length")), "p").select(slot, "hot", "p")
+    probes = probes.repartition("slot").dropDuplicates(["slot", "hot", "p"]).join(some, "slot", "left")
+    others = F.coalesce((F.size("some") > 1) | (F.get("some", F.lit(0)) != F.col("p")), F.lit(False))
+    key = F.when(F.col("hot"), F.col("slot").bitwiseXOR(shift)).otherwise(F.col("slot")).alias("key")
+    crowded = F.col("hot") | (F.size("some") > CROWD)
+    hits = probes.where(F.col("hot") | others).select(key, "p", "some", crowded.alias("crowded"))
+    return stage(hits.withColumn("some", F.when(~F.col("crowded"), F.col("some"))), folder, "probes")
 
 
 def texts_and_marks(lines: DataFrame, ids: DataFrame) -> DataFrame:
@@ -361,7 +383,7 @@ def near_lines(lines: DataFrame, classes: DataFrame, total: int, folder: str) ->
     found among its probes.
     """
     probes = segment_keys(lines, classes, total, folder)
-    crowded = F.size("some") > CROWD
+    crowded = F.col("crowded")
     listed = probes.select(F.col("p").alias("h1")).union(probes.where(~crowded).select(F.explode("some")))
     ids = stage(listed.distinct(), folder, "ids")
     texts = stage_text(texts_and_marks(lines, ids), folder, "texts")

@@ -223,3 +223,20 @@ def test_short_repeats_are_reported(make_docs):
         3: (0, 0, []),
         None: (0, 0, []),
     }
+
+
+def test_hot_segments_are_dealt_over_slots(spark, tmp_path, monkeypatch):
+    """Half of the lines share their start; with every line looked at its key is hot."""
+    rng = random.Random(17)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(30)) for _ in range(40)]
+    shared = ["a shared start of 30 letters : " + w[:20] for w in words]
+    both = words + shared
+    rows = list(enumerate(both + [edited(x, 2, rng) for x in both[::5]] + shared[3:4]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for shown in (1, 1 << 40):  # with and without hot keys
+        monkeypatch.setattr(lines, "SHOWN", shown)
+        folder = tmp_path / str(shown)
+        got = lines.line_report(docs, str(folder)).collect()
+        assert sorted((r.doc_id, d.line) for r in got for d in r.dropped) == brute(rows)
+        (hot,) = folder.glob("hot-*")
+        assert spark.read.parquet(str(hot)).isEmpty() == (shown > 1)

@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from staymart.llm import queries, spans
+from staymart.llm import common, queries, spans
 
 
 def slow(rows):
@@ -112,6 +112,28 @@ def test_paths_that_do_not_branch_are_settled_by_the_join(spark, tmp_path):
     assert sorted(r["n_removed"] for r in judged) == [0] + [400] * 49
 
 
+def test_texts_are_shuffled_compressed_and_unpacked_a_few_at_a_time(spark, tmp_path, monkeypatch):
+    rows = [(i, f"{i} " + "a b c d e f g " * 5_000) for i in range(4)] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    staged = []
+    monkeypatch.setattr(spans, "stage_text", lambda df, folder, name: staged.append(df) or df)
+    spans.judged_documents(docs, str(tmp_path))
+
+    def joins(plan):
+        below = [plan.children().apply(i) for i in range(plan.children().size())]
+        return [plan] * (plan.nodeName() == "Join") + [j for p in below for j in joins(p)]
+
+    (join,) = joins(staged[0]._jdf.queryExecution().optimizedPlan())
+    output = join.left().output()
+    assert "text" not in [output.apply(i).name() for i in range(output.size())]
+
+    packed = spans.packed_texts(spans.identified(docs)).toArrow()
+    assert max(map(len, packed["packed"].to_pylist())) < 5_000
+    assert sorted(packed["size"].to_pylist()) == [0] + [70_002] * 4
+    monkeypatch.setattr(common, "SLICE_CHARS", 100_000)
+    assert [len(s["doc"]) for s in common.slices(iter(packed.combine_chunks().to_batches()), size="size")] == [1, 1, 1, 2]
+
+
 def test_query_equals_brute_force_on_whole_table(spark):
     sf_dir = "/root/testdata/sf0.001"
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]

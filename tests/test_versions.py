@@ -2,9 +2,11 @@ import datetime as dt
 import json
 import os
 from collections import Counter
+from functools import reduce
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import DataFrame, Row
 
 from staymart.operators.merge import AmbiguousMerge
 from staymart.operators.history import snapshot_history
@@ -186,6 +188,32 @@ def test_compaction_keeps_rows_and_large_files(spark, root):
     assert keep.compact_files(spark, root, target_bytes=1_000_000, min_files=1) is None
 
 
+def test_compaction_gives_no_task_more_than_half_above_the_target(spark, root, monkeypatch):
+    vs.create_dataset(frame(spark), root)
+    ids = spark.range(20_000).selectExpr("uuid() AS transaction_id", "CAST(id AS INT) AS v")
+    parts = [ids.coalesce(1) for _ in range(5)] + [frame(spark, (f"k{i}", i)).coalesce(1) for i in range(15)]
+    written = reduce(DataFrame.unionByName, [vs.write_data(part, root) for part in parts])
+    vs.commit(spark, root, vs.latest_commit(spark, root), "append", written)
+    before = bag(vs.read_snapshot(spark, root))
+    sizes = [r["bytes"] for r in vs.manifest(spark, root, vs.latest_commit(spark, root)).collect()]
+    target = int(max(sizes) / 0.7)
+    monkeypatch.setattr(keep, "FILES_PER_JOB", 3)
+    assert keep.compact_files(spark, root, target_bytes=target) == 2
+    after = vs.manifest(spark, root, vs.latest_commit(spark, root)).collect()
+    assert len(after) == -(-sum(sizes) // target) > 3
+    assert max(r["bytes"] for r in after) <= 1.5 * target
+    assert bag(vs.read_snapshot(spark, root)) == before
+
+
+def test_groups_of_files_are_even():
+    files = [Row(file=f"f{i}", bytes=b) for i, b in enumerate([70] * 5 + [1] * 1000)]
+    of = {r["file"]: r["bytes"] for r in files}
+    groups = keep.even_groups(files, 14)
+    assert sorted(n for g in groups for n in g) == sorted(of)
+    assert max(sum(of[n] for n in g) for g in groups) <= 150
+    assert keep.even_groups(files[:1], 3) == [["f0"]]
+
+
 def test_compaction_of_nothing(spark, root):
     assert keep.compact_files(spark, root) is None
     vs.create_dataset(frame(spark), root)

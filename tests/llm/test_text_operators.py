@@ -230,6 +230,17 @@ def test_mixture_equals_sql(make_docs, tmp_path):
     assert sorted(map(tuple, ours)) == sorted(db.execute(mixing.MIXTURE_SQL).fetchall())
 
 
+def test_mixture_reads_the_sizes_once_for_counts_and_once_for_ranks(make_docs, tmp_path):
+    docs = make_docs([(i, "a " * (i % 50), "en", f"s{i % 3}") for i in range(300)])
+    plan = mixing.mixture(docs, folder=f"file:{tmp_path}")._jdf.queryExecution().optimizedPlan()
+
+    def scans(node):
+        below = [scans(node.children().apply(i)) for i in range(node.children().size())]
+        return sum(below, []) or [{node.output().apply(i).name() for i in range(node.output().size())}]
+
+    assert sum("doc_id" in names or "source" in names for names in scans(plan)) == 1
+
+
 def test_mixing_odd_documents(odd_docs, no_docs):
     assert mixing.mixture(odd_docs).count() == 9
     assert mixing.mixture(no_docs).collect() == []

@@ -83,7 +83,15 @@ def segment(length: Column, i: int) -> tuple[Column, Column]:
 
 
 def key_of(start: Column, size: Column, i: int) -> Column:
-    return F.xxhash64(F.substring(F.col("line"), start, size), F.lit(i))
+    # Letters of a plain line, one byte each, are found without counting those before them.
+    cut = F.when(F.col("plain"), F.substring(F.col("bytes"), start, size))
+    return F.xxhash64(cut.otherwise(F.substring(F.col("line"), start, size).cast("binary")), F.lit(i))
+
+
+def with_bytes(lines: DataFrame) -> DataFrame:
+    """``lines`` with what keys are made from: ``length``, ``bytes`` and ``plain``, ASCII only."""
+    sized = lines.withColumn("length", F.char_length("line")).withColumn("bytes", F.col("line").cast("binary"))
+    return sized.withColumn("plain", F.octet_length("line") == F.col("length"))
 
 
 def index_keys(length: Column) -> Column:
@@ -91,20 +99,22 @@ def index_keys(length: Column) -> Column:
 
 
 def probe_keys(length: Column) -> Column:
-    """Keys of all substrings that can be a segment of a line up to ``EDITS`` shorter.
+    """Keys of all substrings that can be a segment of a line up to ``EDITS`` shorter; the
+    line's own ``EDITS + 1`` segments, its index keys, come first.
 
     Edits before and after segment ``i`` number less than ``i`` and less than
     ``EDITS + 2 - i`` if it is the first unchanged one; that bounds how far it has moved.
     """
-    keys = []
+    own, keys = [], []
     for less in range(EDITS + 1):
         short = length - less
         for i in range(1, EDITS + 2):
             start, size = segment(short, i)
             first = max(1 - i, less - (EDITS + 1 - i))
             last = min(i - 1, less + (EDITS + 1 - i))
-            keys += [key_of(start + move, size, i) for move in range(first, last + 1)]
-    return F.array_distinct(F.array(*keys))
+            for move in range(first, last + 1):
+                (keys if less or move else own).append(key_of(start + move, size, i))
+    return F.array_distinct(F.array(*own, *keys))
 
 
 def letters(line: str) -> Column:
@@ -221,28 +231,36 @@ def segment_keys(lines: DataFrame, classes: DataFrame, total: int, folder: str)
     Keys that only the line itself has are left out. A row per probe, however many lines are
     indexed under its key. Hot keys are dealt over ``SLOTS`` slots by the line: they are known
     to be crowded, so nothing has to meet there. Other keys have one slot, the key itself.
+
+    A line's index keys are among its probes, so keys are shuffled once. Few slots have
+    an indexed line and another one; the rows of all others are gone before anything is sorted.
     """
-    common = F.broadcast(classes.where(F.col("n") > total / COMMON).select("h1", "h2"))
-    rare = lines.join(common, ["h1", "h2"], "left_anti").select("h1", "line")
-    once = lines.join(common, ["h1", "h2"]).groupBy("h1", "h2").agg(F.min("line").alias("line"))
-    every = rare.union(once.select("h1", "line")).withColumn("length", F.char_length("line"))
+    common = classes.where(F.col("n") > total / COMMON)
+    common = F.broadcast(common.select("h1", "h2", F.col("first.row").alias("one_row"), F.col("first.pos").alias("one_pos")))
+    one = F.col("one_row").isNull() | ((F.col("one_row") == F.col("row")) & (F.col("one_pos") == F.col("pos")))
+    every = with_bytes(lines.join(common, ["h1", "h2"], "left").where(one).select("h1", "line"))
     hot = stage(hot_keys(every, total), folder, "hot").withColumn("hot", F.lit(True))
 
-    def keyed(keys: Column, name: str) -> DataFrame:
-        # A column first, so that what keys have in common is computed once per line. Outer,
-        # as Spark would else add a filter that the array, never empty, is not empty.
-        rows = every.select(keys.alias("keys"), F.col("h1").alias(name)).select(F.explode_outer("keys").alias("key"), name)
-        return rows.join(F.broadcast(hot), "key", "left").withColumn("hot", F.col("hot").isNotNull())
-
+    # A column first, so that what keys have in common is computed once per line. Outer,
+    # as Spark would else add a filter that the array, never empty, is not empty.
+    keys = every.select(probe_keys(F.col("length")).alias("keys"), F.col("h1").alias("p"))
+    keys = keys.select("p", F.posexplode_outer("keys").alias("pos", "key"))
+    keys = keys.join(F.broadcast(hot), "key", "left").withColumn("hot", F.col("hot").isNotNull())
     shift = F.pmod("p", F.lit(SLOTS))
-    place = F.row_number().over(Window.partitionBy("slot").orderBy("q"))
-    first = keyed(index_keys(F.col("length")), "q").where("NOT hot").select(F.col("key").alias("slot"), "q")
-    first = first.repartition("slot").dropDuplicates(["slot", "q"]).withColumn("place", place).where(F.col("place") <= CROWD + 1)
-    some = first.groupBy("slot").agg(F.collect_list("q").alias("some"))
-    slot = F.when(F.col("hot"), F.col("key").bitwiseXOR(shift)).otherwise(F.col("key")).alias("slot")
-    probes = keyed(probe_keys(F.col("length")), "p").select(slot, "hot", "p")
-    probes = probes.repartition("slot").dropDuplicates(["slot", "hot", "p"]).join(some, "slot", "left")
-    others = F.coalesce((F.size("some") > 1) | (F.get("some", F.lit(0)) != F.col("p")), F.lit(False))
+    slot = F.when(F.col("hot"), F.col("key").bitwiseXOR(shift)).otherwise(F.col("key"))
+    # Never null, and known not to be: Spark would else filter one reader's rows and shuffle for each.
+    slot = F.coalesce(slot, F.lit(0).cast("long")).alias("slot")
+    keys = keys.select(slot, "hot", "p", (F.col("pos") <= EDITS).alias("indexed")).repartition("slot")
+    met = keys.groupBy("slot").agg(F.min("p").alias("a"), F.max("p").alias("b"), F.max("indexed").alias("indexed"), F.max("hot").alias("hot"))
+    met = met.where(F.col("hot") | (F.col("indexed") & (F.col("a") < F.col("b")))).select("slot")
+    # Inner, as Spark would take a semi-join below the shuffle and shuffle for each reader.
+    probes = keys.join(met.hint("shuffle_hash"), "slot")
+    probes = probes.groupBy("slot", "hot", "p").agg(F.max("indexed").alias("indexed"))
+    indexed = F.col("indexed") & ~F.col("hot")
+    probes = probes.withColumn("place", F.row_number().over(Window.partitionBy("slot").orderBy(~indexed, "p")))
+    first = F.when(indexed & (F.col("place") <= CROWD + 1), F.col("p"))
+    probes = probes.withColumn("some", F.collect_list(first).over(Window.partitionBy("slot")))
+    others = (F.size("some") > 1) | F.coalesce(F.get("some", F.lit(0)) != F.col("p"), F.lit(False))
     key = F.when(F.col("hot"), F.col("slot").bitwiseXOR(shift)).otherwise(F.col("slot")).alias("key")
     crowded = F.col("hot") | (F.size("some") > CROWD)
     hits = probes.where(F.col("hot") | others).select(key, "p", "some", crowded.alias("crowded"))

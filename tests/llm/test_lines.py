@@ -240,3 +240,28 @@ def test_hot_segments_are_dealt_over_slots(spark, tmp_path, monkeypatch):
         assert sorted((r.doc_id, d.line) for r in got for d in r.dropped) == brute(rows)
         (hot,) = folder.glob("hot-*")
         assert spark.read.parquet(str(hot)).isEmpty() == (shown > 1)
+
+
+def test_keys_are_made_from_texts_and_shuffled_once(spark, texts, monkeypatch):
+    plans, real = {}, lines.stage
+
+    def watched(df, folder, name):
+        df.collect()  # then the plan is the one that ran
+        plans[name] = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        return real(df, folder, name)
+
+    monkeypatch.setattr(lines, "stage", watched)
+    lines.line_report(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert plans["probes"].count("posexplode(split(") == 1  # index keys, probes and common lines took one each
+    assert plans["hot"].count("posexplode(split(") == 1
+
+
+def test_keys_of_plain_lines_are_those_by_letters(spark):
+    rows = ["a plain line that is long enough", "a pläin line that is long enough", "😀" * 20, "x" * 21, "é" + "x" * 21]
+    frame = lines.with_bytes(spark.createDataFrame([(x,) for x in rows], "line string"))
+    size = F.col("length")
+    both = [f.withColumn("own", lines.index_keys(size)).withColumn("keys", lines.probe_keys(size)) for f in (frame, frame.withColumn("plain", F.lit(False)))]
+    plain, slow = ([(r.line, r.own, r.keys) for r in f.collect()] for f in both)
+    assert [r.plain for r in frame.collect()] == [True, False, False, True, False]
+    assert plain == slow
+    assert all(keys[: lines.EDITS + 1] == own for _, own, keys in plain)
